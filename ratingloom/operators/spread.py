@@ -56,10 +56,13 @@ def spread_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str =
     return salted_facts.join(salted_lookup, [*keys, "_salt"], how).drop("_salt")
 
 
+def is_small(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    return lookup.limit(max_rows + 1).count() <= max_rows
+
+
 def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner",
-                max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join with a word list, lexicon or code table: broadcast if it has at most ``max_rows`` rows,
-    else spread."""
-    if lookup.limit(max_rows + 1).count() <= max_rows:
+                small: bool | None = None) -> DataFrame:
+    """Join with a word list, lexicon or code table: broadcast if ``is_small``, else spread."""
+    if is_small(lookup) if small is None else small:
         return facts.join(F.broadcast(lookup), keys, how)
     return spread_join(facts, lookup, keys, how)
