@@ -9,8 +9,11 @@ STAMP = "yyyy-MM-dd HH:mm:ss"
 
 
 def with_date_parts(df: DataFrame, column: str = "datetime") -> DataFrame:
-    """Adds review_timestamp, year, month, quarter; all null when the text is no valid time."""
-    return (df.withColumn("review_timestamp", F.try_to_timestamp(F.col(column), F.lit(STAMP)))
+    """Adds review_timestamp, year, month, quarter; all null when a text is no valid time."""
+    time = F.col(column)
+    if dict(df.dtypes)[column] == "string":
+        time = F.try_to_timestamp(time, F.lit(STAMP))
+    return (df.withColumn("review_timestamp", time)
             .withColumns({
                 "year": F.year("review_timestamp"),
                 "month": F.month("review_timestamp"),

@@ -40,8 +40,10 @@ def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _fields(lines: DataFrame) -> DataFrame:
-    # Empty fields at the end of a line do not count.
-    return lines.select("value", F.split(F.rtrim("value", F.lit("\t")), "\t").alias("f"))
+    # Empty fields at the end of a line do not count. The one-element explode keeps the filters
+    # below from being merged into the scan's projection, where each of them would split again.
+    parts = F.split(F.rtrim("value", F.lit("\t")), "\t")
+    return lines.select("value", F.explode(F.array(parts)).alias("f"))
 
 
 def _named(positions: dict[str, int]) -> list[Column]:

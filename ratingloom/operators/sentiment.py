@@ -94,7 +94,7 @@ def _in_context(df: DataFrame, key: str, text: str, carry: list[str]) -> DataFra
         F.when(size > 0, F.arrays_zip(*[shifted(n).alias(c) for c, n in columns.items()]))
         .alias("_zip"))
     rows = docs.select("*", F.posexplode_outer("_zip").alias("_i", "_z")).drop("_zip")
-    return rows.select("*", *[F.col("_z")[str(k)].alias(c) for k, c in enumerate(columns)]).drop("_z")
+    return rows.select("*", *[F.col("_z")[c].alias(c) for c in columns]).drop("_z")
 
 
 def rule_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame,

@@ -85,7 +85,8 @@ def lda_topics(reviews: DataFrame, key: str, text: str, stop_words: list[str],
     try:
         counter = CountVectorizer(inputCol="terms", outputCol="bag", vocabSize=vocabulary).fit(docs)
         bags = counter.transform(docs)
-        model = LDA(k=k, maxIter=passes, seed=seed, featuresCol="bag").fit(bags)
+        model = LDA(k=k, maxIter=passes, seed=seed, featuresCol="bag",
+                    subsamplingRate=1.0).fit(bags)
     finally:
         docs.unpersist()
     matrix = model.topicsMatrix().toArray()
@@ -96,7 +97,7 @@ def lda_topics(reviews: DataFrame, key: str, text: str, stop_words: list[str],
 
     mixed = model.transform(bags).select(
         *segment, vector_to_array("topicDistribution").alias("theta"), F.explode("terms").alias("term"))
-    parts = lookup_join(mixed, betas, ["term"], small=len(counter.vocabulary) <= vocabulary)
+    parts = lookup_join(mixed, betas, ["term"], small=True)  # at most `vocabulary` rows
     joint = parts.select(*segment, "term", F.zip_with("theta", "beta", lambda t, b: t * b).alias("p"))
     whole = F.aggregate("p", F.lit(0.0), lambda total, x: total + x)
     sums = (joint.withColumn("_whole", whole)
