@@ -67,8 +67,11 @@ def cell_degrees(zoom: int) -> float:
 
 
 def geo_grid(points: DataFrame, degrees: float) -> DataFrame:
-    """Count, mean weight (a missing one counts as 0) and colour of the points of each grid cell."""
-    mean = F.avg(F.coalesce("weight", F.lit(0.0)))
+    """Count, mean weight (a missing one counts as 0) and colour of the points of each grid cell.
+
+    Weights have three digits, so they are summed as decimals: the mean does not depend on order.
+    """
+    mean = F.avg(F.coalesce("weight", F.lit(0.0)).cast("decimal(10,6)")).cast("double")
     cells = points.groupBy(
         F.floor(F.col("lat") / degrees).alias("cell_lat"),
         F.floor(F.col("lon") / degrees).alias("cell_lon"),

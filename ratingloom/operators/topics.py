@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ratingloom.functions import text as tx
 from ratingloom.operators.spread import lookup_join, spread_join
@@ -82,6 +82,11 @@ def lda_topics(reviews: DataFrame, key: str, text: str, stop_words: list[str],
     """
     docs = (reviews.select(key, *segment, tx.topic_tokens(text, stop_words).alias("terms"))
             .where(F.size("terms") > 0).persist())
+    if docs.isEmpty():
+        docs.unpersist()
+        return reviews.sparkSession.createDataFrame(
+            [], T.StructType([docs.schema[c] for c in segment]).add("topic", "int").add("rank", "int")
+            .add("term", "string").add("weight", "double"))
     try:
         counter = CountVectorizer(inputCol="terms", outputCol="bag", vocabSize=vocabulary).fit(docs)
         bags = counter.transform(docs)

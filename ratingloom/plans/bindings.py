@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ratingloom.functions.hours import DAYS
 from ratingloom.operators import joins, trends
+from ratingloom.sources.readers import spread_small
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -157,8 +158,9 @@ DOMAIN = [word for word, _ in LEXICON] + ["ononst", "hehely", "orantion", "ther"
 
 
 def texts(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select(
-        "doc_id", F.col("text").alias("review_text"), F.col("source").alias("business_id"),
+    return spread_small(table(spark, d, "documents"), "doc_id").select(
+        "doc_id", F.col("text").alias("review_text"),
+        F.concat_ws("-", "source", F.floor(F.col("doc_id") / 500).cast("string")).alias("business_id"),
         (1 + F.col("n_chars") % 5).cast("double").alias("stars"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 360).cast("int"))
         .cast("timestamp").alias("datetime"))
@@ -173,7 +175,8 @@ def words(spark: SparkSession, listed: list[str]) -> DataFrame:
 
 
 TEXTS = """
-texts AS (SELECT doc_id, text AS review_text, source AS business_id,
+texts AS (SELECT doc_id, text AS review_text,
+    source || '-' || CAST(doc_id // 500 AS VARCHAR) AS business_id,
     CAST(1 + n_chars % 5 AS DOUBLE) AS stars,
     CAST(year(DATE '2024-01-01' + CAST(doc_id % 360 AS INTEGER)) AS INTEGER) AS year,
     CAST(month(DATE '2024-01-01' + CAST(doc_id % 360 AS INTEGER)) AS INTEGER) AS month

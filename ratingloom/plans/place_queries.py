@@ -261,7 +261,7 @@ SELECT business_id, lat, lon FROM partbiz WHERE lat BETWEEN 30 AND 40 AND lon BE
 SELECT business_id FROM partbiz WHERE lat BETWEEN 30 AND 40 AND (lon >= -75 OR lon <= -115)""")),
     "geo_grid": (geo_grid, b.with_views(POINTS, f"""
 SELECT CAST(floor(lat / 2e0) AS BIGINT) AS cell_lat, CAST(floor(lon / 2e0) AS BIGINT) AS cell_lon,
-  count(*) AS points, {b.rounded('avg(coalesce(weight, 0e0))', 6)} AS avg_weight,
+  count(*) AS points, {b.rounded('avg(CAST(coalesce(weight, 0e0) AS DECIMAL(10, 6)))', 6)} AS avg_weight,
   CASE WHEN avg(coalesce(weight, 0e0)) > 0.25 THEN 'green'
     WHEN avg(coalesce(weight, 0e0)) < -0.25 THEN 'red' ELSE 'gold' END AS colour
 FROM pts GROUP BY 1, 2""")),

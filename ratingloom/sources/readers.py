@@ -9,6 +9,13 @@ from pyspark.sql.types import StructType
 from ratingloom.sources import schemas
 
 
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """A table with fewer input splits than the session has cores is dealt over them by ``key``,
+    so that heavy work per row does not run in one task. Anything bigger stays as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One column ``value``, one row per line."""
     return spark.read.text(path)
