@@ -109,10 +109,12 @@ def rule_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame,
     boosters = wl.INTENSIFIERS + wl.DAMPENERS
     muted = F.col("word").isin(boosters) | ((F.col("word") == "kind") & (F.lower("n1") == "of"))
     rows = rows.withColumn("v", F.when(~muted, F.col("valence")))
+    # From here on only words with a valence matter, and one row to keep a text without any.
+    rows = rows.where(F.col("v").isNotNull() | (F.coalesce("_i", F.lit(0)) == 0))
 
-    # Which predecessors carry a valence of their own. Words without valence ask nothing.
+    # Which predecessors carry a valence of their own.
     for n in range(1, LOOK_BACK + 1):
-        rows = rows.withColumn(f"l{n}", F.when(F.col("v").isNotNull(), F.lower(f"p{n}")))
+        rows = rows.withColumn(f"l{n}", F.lower(f"p{n}"))
         known = lexicon.select(F.col("word").alias(f"l{n}"), F.lit(True).alias(f"known{n}"))
         rows = lookup_join(rows, known, [f"l{n}"], "left", small)
 
@@ -145,11 +147,10 @@ def rule_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame,
     phrases = [(l1, w), (l2, l1, w), (l2, l1), (l3, l2, l1), (l3, l2)]
     later = [(w, n1), (w, n1, n2)]
 
+    idioms = F.create_map(*[F.lit(x) for pair in wl.IDIOMS.items() for x in pair])
+
     def idiom(phrase: tuple[Column, ...]) -> Column:
-        joined, found = F.concat_ws(" ", *phrase), F.lit(None).cast("double")
-        for words, valence in wl.IDIOMS.items():
-            found = F.when(joined == words, valence).otherwise(found)
-        return found
+        return idioms[F.concat_ws(" ", *phrase)]
 
     looks = (F.col("_i") >= 3) & F.col("known3").isNull() & v.isNotNull()
     rows = rows.withColumn("v", F.when(

@@ -87,13 +87,11 @@ def lda_topics(reviews: DataFrame, key: str, text: str, stop_words: list[str],
         return reviews.sparkSession.createDataFrame(
             [], T.StructType([docs.schema[c] for c in segment]).add("topic", "int").add("rank", "int")
             .add("term", "string").add("weight", "double"))
-    try:
-        counter = CountVectorizer(inputCol="terms", outputCol="bag", vocabSize=vocabulary).fit(docs)
-        bags = counter.transform(docs)
-        model = LDA(k=k, maxIter=passes, seed=seed, featuresCol="bag",
-                    subsamplingRate=1.0).fit(bags)
-    finally:
-        docs.unpersist()
+    counter = CountVectorizer(inputCol="terms", outputCol="bag", vocabSize=vocabulary).fit(docs)
+    bags = counter.transform(docs).persist()
+    model = LDA(k=k, maxIter=passes, seed=seed, featuresCol="bag", subsamplingRate=1.0).fit(bags)
+    bags.unpersist()
+    docs.unpersist()
     matrix = model.topicsMatrix().toArray()
     matrix = matrix / matrix.sum(axis=0)
     betas = reviews.sparkSession.createDataFrame(
