@@ -22,11 +22,12 @@ def one_per_key(df: DataFrame, key: str, order: list[str] | None = None) -> Data
     return best.select(*[F.col(c) if c == key else F.col(f"best.{c}").alias(c) for c in df.columns])
 
 
-def join_raw(business: DataFrame, review: DataFrame) -> DataFrame:
-    """One row per review of a known business. ``business`` has unique ids."""
+def join_raw(business: DataFrame, review: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """One row per review of a known business. ``business`` has unique ids; ``extra`` review
+    columns come after the usual ones."""
     joined = spread_join(review, business.select(*[c for c in schemas.PLACE if c in business.columns]),
                          ["business_id"])
-    wanted = [f.name for f in schemas.RAW]
+    wanted = [*[f.name for f in schemas.RAW], *extra]
     return joined.select(*[c for c in wanted if c in joined.columns])
 
 

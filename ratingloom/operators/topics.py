@@ -85,7 +85,7 @@ def lda_topics(reviews: DataFrame, key: str, text: str, stop_words: list[str],
     if docs.isEmpty():
         docs.unpersist()
         return reviews.sparkSession.createDataFrame(
-            [], T.StructType([docs.schema[c] for c in segment]).add("topic", "int").add("rank", "int")
+            [], T.StructType([docs.schema[c] for c in segment]).add("topic", "integer").add("rank", "integer")
             .add("term", "string").add("weight", "double"))
     counter = CountVectorizer(inputCol="terms", outputCol="bag", vocabSize=vocabulary).fit(docs)
     bags = counter.transform(docs).persist()
