@@ -36,7 +36,7 @@ def review_lines(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("l_orderkey") + F.col("l_linenumber")
     key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     stars = F.ceil(F.col("l_quantity") / 10).cast("string")
-    return b.table(spark, d, "lineitem").select(F.concat_ws(
+    return readers.spread_small(b.table(spark, d, "lineitem"), "l_orderkey").select(F.concat_ws(
         "\t", key, F.lit("u"), F.col("l_partkey").cast("string"),
         F.when(k % 5 == 0, "6").when(k % 23 == 0, "many").otherwise(stars),
         F.lit("0"), F.lit("0"), F.lit("0"),

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ratingloom.functions.dates import with_date_parts
 from ratingloom.functions.wordlists import RESTAURANT_WORDS, english_stop_words
 from ratingloom.operators import (cleaning, geo, joins, kpis, places, sentiment, similar, topics,
                                   trends, words)
@@ -52,7 +53,7 @@ def run_etl(spark: SparkSession, business_path: str, review_path: str, folder: s
     review = _judged(store, "review", cleaning.judge_review(readers.read_lines(spark, review_path)),
                      cleaning.kept_review)
     business = store.keep("business", joins.one_per_key(business, "business_id", ["review_count"]))
-    raw = trends.prepare(joins.join_raw(business, review, extra=("review_id",)))
+    raw = with_date_parts(joins.join_raw(business, review, extra=("review_id",)))
     return (store.keep("raw", raw, ["year"]),
             store.keep("aggregated", joins.join_aggregated(business, review)))
 
@@ -63,7 +64,7 @@ def stage_text(spark: SparkSession, raw_path: str, aggregated_path: str, folder:
     store = Store(spark, folder)
     raw = readers.read_raw(spark, raw_path).withColumn(
         "review_id", F.monotonically_increasing_id().cast("string"))
-    return (store.keep("raw", trends.prepare(raw), ["year"]),
+    return (store.keep("raw", with_date_parts(raw), ["year"]),
             store.keep("aggregated", readers.read_aggregated(spark, aggregated_path)))
 
 
@@ -106,7 +107,8 @@ def run_sentiment(store: Store, raw: DataFrame, lexicon: DataFrame, domain: list
 
 
 def run_trends(store: Store, raw: DataFrame, stop_words: list[str], model: bool = True) -> None:
-    """Trends and the report on spikes and dips. Without dated reviews nothing is written."""
+    """Trends and the report on spikes and dips. Without usable reviews nothing is written."""
+    raw = cleaning.drop_null_keys(raw, ["business_id", "stars", "datetime"])
     if raw.isEmpty():
         return
     monthly = store.keep("monthly", trends.monthly_trends(raw))

@@ -155,7 +155,7 @@ def region_bounds(spark, d):
     hole = ring(x - 50, y - 50, 200.0)
     single = feature("Polygon", F.array(ring(x, y, 0.5), hole))
     double = feature("MultiPolygon", F.array(F.array(ring(x, y, 0.5), hole), F.array(ring(x, y, -0.5))))
-    lines = b.partbiz(spark, d).select(
+    lines = readers.spread_small(b.partbiz(spark, d), "business_id").select(
         F.when(F.col("business_id").cast("int") % 2 == 0, double).otherwise(single).alias("value"))
     return geo.region_bounds(readers.vertices(readers.parse_features(lines)))
 
