@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ratingloom.functions import text as tx, wordlists as wl
@@ -13,6 +15,8 @@ COMPOUND_LIMIT = 0.05
 GOOD_STARS = 4.0
 MIDDLE_STARS = 3.0
 LOOK_BACK = 3
+# A lexicon of at most this many words is searched for inside the texts.
+LISTED_WORDS = 20_000
 
 
 def sentiment_label(compound: Column | str) -> Column:
@@ -63,38 +67,50 @@ def _bare(word: Column) -> Column:
     """The word without one punctuation mark before or after it, if that leaves a plain word."""
     marks = "|".join("".join("\\" + ch for ch in mark)
                      for mark in sorted(wl.PUNCTUATION, key=len, reverse=True))
-    plain = r"[^\p{Punct}]{2,}"
-    inner = F.regexp_extract(word, f"^(?:(?:{marks})({plain})|({plain})(?:{marks}))$", 1)
-    after = F.regexp_extract(word, f"^(?:(?:{marks})({plain})|({plain})(?:{marks}))$", 2)
-    return F.when(word.rlike(r"\p{Punct}"),
-                  F.coalesce(F.nullif(F.concat(inner, after), F.lit("")), word)).otherwise(word)
+    plain = r"([^\p{Punct}]{2,})"
+    return F.regexp_replace(word, f"^(?:(?:{marks}){plain}|{plain}(?:{marks}))$", "$1$2")
+
 
+def _trimmed(word: Column) -> Column:
+    """The lower-case word without any punctuation around it: what ``_bare`` gives, if it changes
+    the word at all, but cheap enough for every word."""
+    return F.lower(F.btrim(word, F.lit(string.punctuation)))
 
-def _rule_words(text: str) -> Column:
-    parts = F.filter(F.split(text, r"(?U)\s+"), lambda w: F.length(w) > 1)
-    return F.transform(parts, _bare)
 
+def _in_context(df: DataFrame, key: str, text: str, carry: list[str],
+                listed: list[str] | None) -> DataFrame:
+    """The words that may have a valence, each with its three predecessors and two successors ('' past
+    the ends), and for every text one row without a word (position -1).
 
-def _in_context(df: DataFrame, key: str, text: str, carry: list[str]) -> DataFrame:
-    """One row per word with its three predecessors and two successors ('' past the ends)."""
-    docs = df.select(key, *carry, F.col(text).alias("_text"), _rule_words(text).alias("_words"))
+    ``listed`` words are found in place, so that only they leave the text; None takes every word.
+    """
+    split = F.filter(F.split(text, r"(?U)\s+"), lambda w: F.length(w) > 1)
+    docs = df.select(key, *carry, F.col(text).alias("_text"), split.alias("_words"))
     size = F.size("_words")
-    pad = F.array_repeat(F.lit(""), LOOK_BACK)
+    places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
+
+    def at(i: Column) -> Column:
+        return F.get("_words", i)
+
+    def found(i: Column) -> Column:
+        return F.lower(at(i)).isin(listed) | _trimmed(at(i)).isin(listed)
 
-    def shifted(n: int) -> Column:
-        return F.slice(F.concat(pad, F.col("_words"), pad), LOOK_BACK + 1 + n, size)
+    def is_but(i: Column) -> Column:
+        return (_trimmed(at(i)) == "but") & (F.lower(_bare(at(i))) == "but")
 
-    columns = {"w": 0, "p1": -1, "p2": -2, "p3": -3, "n1": 1, "n2": 2}
+    offsets = {"w": 0, "p1": -1, "p2": -2, "p3": -3, "n1": 1, "n2": 2}
+    hits = places if listed is None else F.filter(places, found)
     docs = docs.select(
         key, *carry,
-        F.array_position(F.transform("_words", lambda w: F.lower(w)), "but").alias("_but"),
+        F.get(F.filter(places, is_but), F.lit(0)).alias("_but"),
         F.size(F.filter("_words", _shouted)).between(1, size - 1).alias("_mixed_caps"),
         (F.length("_text") - F.length(F.replace("_text", F.lit("!")))).alias("_exclaims"),
         (F.length("_text") - F.length(F.replace("_text", F.lit("?")))).alias("_asks"),
-        F.when(size > 0, F.arrays_zip(*[shifted(n).alias(c) for c, n in columns.items()]))
-        .alias("_zip"))
-    rows = docs.select("*", F.posexplode_outer("_zip").alias("_i", "_z")).drop("_zip")
-    return rows.select("*", *[F.col("_z")[c].alias(c) for c in columns]).drop("_z")
+        F.transform(F.concat(F.array(F.lit(-1)), hits), lambda i: F.struct(
+            i.alias("i"), *[at(i + n).alias(c) for c, n in offsets.items()])).alias("_hits"))
+    rows = docs.select("*", F.explode("_hits").alias("_h")).drop("_hits")
+    words = [F.coalesce(_bare(F.col("_h")[c]), F.lit("")).alias(c) for c in offsets]
+    return rows.select("*", F.col("_h")["i"].alias("_i"), *words).drop("_h")
 
 
 def rule_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame,
@@ -103,14 +119,14 @@ def rule_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame,
 
     All look-ups happen next to the words, in one stage; only one row per text is shuffled.
     """
-    small = is_small(lexicon)
-    rows = _in_context(df, key, text, carry).withColumn("word", F.lower("w"))
+    small = is_small(lexicon, LISTED_WORDS)
+    listed = [r.word for r in lexicon.select("word").distinct().collect()] if small else None
+    rows = _in_context(df, key, text, carry, listed).withColumn("word", F.lower("w"))
     rows = lookup_join(rows, lexicon, ["word"], "left", small)
     boosters = wl.INTENSIFIERS + wl.DAMPENERS
     muted = F.col("word").isin(boosters) | ((F.col("word") == "kind") & (F.lower("n1") == "of"))
-    rows = rows.withColumn("v", F.when(~muted, F.col("valence")))
-    # From here on only words with a valence matter, and one row to keep a text without any.
-    rows = rows.where(F.col("v").isNotNull() | (F.coalesce("_i", F.lit(0)) == 0))
+    rows = rows.withColumn("v", F.when((F.col("_i") >= 0) & ~muted, F.col("valence")))
+    rows = rows.where(F.col("v").isNotNull() | (F.col("_i") < 0))
 
     # Which predecessors carry a valence of their own.
     for n in range(1, LOOK_BACK + 1):
@@ -164,9 +180,8 @@ def rule_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame,
         (F.col("_i") == 1) | ((F.col("_i") > 1) & ~l2.isin(["at", "very"])))
     rows = rows.withColumn("v", v * F.when(least, wl.NEGATION).otherwise(1.0))
 
-    place = F.col("_i") + 1
-    weight = (F.when((F.col("_but") > 0) & (place < F.col("_but")), 0.5)
-              .when((F.col("_but") > 0) & (place > F.col("_but")), 1.5).otherwise(1.0))
+    weight = (F.when(F.col("_i") < F.col("_but"), 0.5).when(F.col("_i") > F.col("_but"), 1.5)
+              .otherwise(1.0))
     sums = rows.groupBy(key, *carry).agg(
         F.sum(F.coalesce(v * weight, F.lit(0.0))).alias("_sum"),
         F.max("_exclaims").alias("_exclaims"), F.max("_asks").alias("_asks"))

@@ -102,11 +102,14 @@ SENTENCES = [
     "never so good", "never this bad", "i never really so good", "we thought this great",
     "good!", "good!!!!!!", "bad??", "bad?????", "(good)", "\"good\"", "good, great; bad.", "don't like it",
     "we did not really like it", "cut the mustard", "they can never cut the mustard here",
-    "slightly bad and somewhat awful", "uber LOVE it!", "like?!? like!!!", "good\tgreat\nbad", "x good",
+    "slightly bad and somewhat awful", "uber LOVE it!", "like?!? like!!!", "good\tgreat\nbad", "x good", "good (but) bad", "good but! bad", "!!good!! 'great' bad.'",
+    "very kind of", "kind of", "GOOD! BAD! food", "a\u00a0good\u00a0place",
 ]
 
 
-def test_rules_by_brute_force(spark, lexicon):
+@pytest.mark.parametrize("listed", [20_000, 3])
+def test_rules_by_brute_force(spark, lexicon, listed, monkeypatch):
+    monkeypatch.setattr(sentiment, "LISTED_WORDS", listed)
     rng = random.Random(5)
     pool = (list(LEXICON) + ["very", "not", "never", "so", "this", "but", "least", "at", "kind", "of", "the",
                              "bomb", "isn't", "really", "barely", "food", "yeah", "right", "just", "enough"])
