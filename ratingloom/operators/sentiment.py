@@ -71,10 +71,12 @@ def _bare(word: Column) -> Column:
     return F.regexp_replace(word, f"^(?:(?:{marks}){plain}|{plain}(?:{marks}))$", "$1$2")
 
 
-def _trimmed(word: Column) -> Column:
-    """The lower-case word without any punctuation around it: what ``_bare`` gives, if it changes
-    the word at all, but cheap enough for every word."""
-    return F.lower(F.btrim(word, F.lit(string.punctuation)))
+def _may_be(word: Column, listed: list[str]) -> Column:
+    """Whether the lower-case word, or what ``_bare`` may leave of it, is listed. Trimming is slow, so
+    only words with punctuation at an end are trimmed."""
+    edged = word.rlike(r"^\p{Punct}|\p{Punct}$")
+    return F.lower(word).isin(listed) | (
+        edged & F.lower(F.btrim(word, F.lit(string.punctuation))).isin(listed))
 
 
 def _in_context(df: DataFrame, key: str, text: str, carry: list[str],
@@ -92,23 +94,23 @@ def _in_context(df: DataFrame, key: str, text: str, carry: list[str],
     def at(i: Column) -> Column:
         return F.get("_words", i)
 
-    def found(i: Column) -> Column:
-        return F.lower(at(i)).isin(listed) | _trimmed(at(i)).isin(listed)
-
     def is_but(i: Column) -> Column:
-        return (_trimmed(at(i)) == "but") & (F.lower(_bare(at(i))) == "but")
+        short = F.length(at(i)) <= len("but") + max(len(mark) for mark in wl.PUNCTUATION)
+        return short & _may_be(at(i), ["but"]) & (F.lower(_bare(at(i))) == "but")
 
     offsets = {"w": 0, "p1": -1, "p2": -2, "p3": -3, "n1": 1, "n2": 2}
-    hits = places if listed is None else F.filter(places, found)
+    hits = places if listed is None else F.filter(places, lambda i: _may_be(at(i), listed))
     docs = docs.select(
         key, *carry,
-        F.get(F.filter(places, is_but), F.lit(0)).alias("_but"),
+        F.when(F.lower("_text").contains("but"), F.get(F.filter(places, is_but), F.lit(0)))
+        .alias("_but"),
         F.size(F.filter("_words", _shouted)).between(1, size - 1).alias("_mixed_caps"),
         (F.length("_text") - F.length(F.replace("_text", F.lit("!")))).alias("_exclaims"),
         (F.length("_text") - F.length(F.replace("_text", F.lit("?")))).alias("_asks"),
         F.transform(F.concat(F.array(F.lit(-1)), hits), lambda i: F.struct(
             i.alias("i"), *[at(i + n).alias(c) for c, n in offsets.items()])).alias("_hits"))
-    rows = docs.select("*", F.explode("_hits").alias("_h")).drop("_hits")
+    # Outer, as a plain explode of a column filters on its size, below all this, by computing it twice.
+    rows = docs.select("*", F.explode_outer("_hits").alias("_h")).drop("_hits")
     words = [F.coalesce(_bare(F.col("_h")[c]), F.lit("")).alias(c) for c in offsets]
     return rows.select("*", F.col("_h")["i"].alias("_i"), *words).drop("_h")
 

@@ -80,9 +80,9 @@ def lda_topics(reviews: DataFrame, key: str, text: str, stop_words: list[str],
     divided among the topics by (topic share of its review) x (term weight in the topic), and the
     parts are summed per segment, topic and term.
     """
-    docs = (reviews.select(key, *segment, tx.topic_tokens(text, stop_words).alias("terms"))
-            .where(F.size("terms") > 0).persist())
-    if docs.isEmpty():
+    terms_of = F.coalesce(tx.topic_tokens(text, stop_words), F.array().cast("array<string>"))
+    docs = reviews.select(key, *segment, terms_of.alias("terms")).persist()
+    if docs.where(F.size("terms") > 0).isEmpty():
         docs.unpersist()
         return reviews.sparkSession.createDataFrame(
             [], T.StructType([docs.schema[c] for c in segment]).add("topic", "integer").add("rank", "integer")
@@ -99,7 +99,8 @@ def lda_topics(reviews: DataFrame, key: str, text: str, stop_words: list[str],
         "term string, beta array<double>")
 
     mixed = model.transform(bags).select(
-        *segment, vector_to_array("topicDistribution").alias("theta"), F.explode("terms").alias("term"))
+        *segment, vector_to_array("topicDistribution").alias("theta"), F.explode_outer("terms").alias("term")
+    ).where("term is not null")
     parts = lookup_join(mixed, betas, ["term"], small=True)  # at most `vocabulary` rows
     joint = parts.select(*segment, "term", F.zip_with("theta", "beta", lambda t, b: t * b).alias("p"))
     whole = F.aggregate("p", F.lit(0.0), lambda total, x: total + x)

@@ -95,5 +95,7 @@ def outer_rings(features: DataFrame) -> DataFrame:
 
 def vertices(rings: DataFrame) -> DataFrame:
     """One row per vertex: region, lat, lng. GeoJSON points are (lng, lat)."""
-    return (rings.select("region", F.explode("points").alias("p"))
+    # Outer, as the size filter of a plain explode would parse every feature a second time.
+    return (rings.select("region", F.explode_outer("points").alias("p"))
+            .where(F.col("p").isNotNull())
             .select("region", F.col("p")[1].alias("lat"), F.col("p")[0].alias("lng")))
