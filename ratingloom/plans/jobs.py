@@ -6,8 +6,6 @@ lineage, so a lost executor costs at most the step at hand, and no step is compu
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratingloom.functions.dates import with_date_parts
@@ -26,35 +24,34 @@ class Store:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
-    def keep(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        """Writes a working table and returns it as read back."""
-        writers.write_parquet(df, self.path(name), partition_by)
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Writes a working table and returns it as read back. One file per task: no partition
+        columns, which would multiply the files of a big run."""
+        writers.write_parquet(df, self.path(name))
         return self.spark.read.parquet(self.path(name))
 
     def publish(self, name: str, df: DataFrame, small: bool = False) -> None:
         writers.write_json(df, self.path(f"published/{name}"), small)
 
 
-def _judged(store: Store, name: str, judged: DataFrame, kept: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """One pass over the lines: the table is split by reject reason while it is written, and the
-    kept rows are one partition of it."""
-    writers.write_parquet(judged, store.path(f"judged/{name}"), ["reject_reason"])
-    fields = ", ".join(f"{f} {t}" for f, t in judged.dtypes)
-    return kept(store.spark.read.schema(fields).parquet(store.path(f"judged/{name}")))
+def _judged(store: Store, name: str, judged: DataFrame) -> DataFrame:
+    """One pass over the lines writes kept and rejected ones; only rejected ones keep their text."""
+    reason = F.col("reject_reason")
+    return store.keep(f"judged/{name}",
+                      judged.withColumn("value", F.when(reason.isNotNull(), F.col("value"))).drop("n"))
 
 
 def run_etl(spark: SparkSession, business_path: str, review_path: str, folder: str,
             keyword: str = "food") -> tuple[DataFrame, DataFrame]:
     """(raw, aggregated) from the two incoming files."""
     store = Store(spark, folder)
-    business = _judged(store, "business",
-                       cleaning.judge_business(readers.read_lines(spark, business_path), keyword),
-                       cleaning.kept_business)
-    review = _judged(store, "review", cleaning.judge_review(readers.read_lines(spark, review_path)),
-                     cleaning.kept_review)
+    business = cleaning.kept_business(_judged(
+        store, "business", cleaning.judge_business(readers.read_lines(spark, business_path), keyword)))
+    review = cleaning.kept_review(_judged(
+        store, "review", cleaning.judge_review(readers.read_lines(spark, review_path))))
     business = store.keep("business", joins.one_per_key(business, "business_id", ["review_count"]))
     raw = with_date_parts(joins.join_raw(business, review, extra=("review_id",)))
-    return (store.keep("raw", raw, ["year"]),
+    return (store.keep("raw", raw),
             store.keep("aggregated", joins.join_aggregated(business, review)))
 
 
@@ -64,7 +61,7 @@ def stage_text(spark: SparkSession, raw_path: str, aggregated_path: str, folder:
     store = Store(spark, folder)
     raw = readers.read_raw(spark, raw_path).withColumn(
         "review_id", F.monotonically_increasing_id().cast("string"))
-    return (store.keep("raw", with_date_parts(raw), ["year"]),
+    return (store.keep("raw", with_date_parts(raw)),
             store.keep("aggregated", readers.read_aggregated(spark, aggregated_path)))
 
 

@@ -14,11 +14,8 @@ def write_json(df: DataFrame, path: str, small: bool = False) -> None:
     (df.coalesce(1) if small else df).write.mode("overwrite").json(path)
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+def write_parquet(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
 
 
 def write_csv_header(df: DataFrame, path: str, small: bool = False) -> None:
