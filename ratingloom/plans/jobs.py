@@ -41,6 +41,12 @@ def _judged(store: Store, name: str, judged: DataFrame) -> DataFrame:
                       judged.withColumn("value", F.when(reason.isNotNull(), F.col("value"))).drop("n"))
 
 
+def numbered(raw: DataFrame) -> DataFrame:
+    """Adds date parts and a ``row_id``, unique even where a review is listed twice. Writing the table
+    fixes the numbers."""
+    return with_date_parts(raw).withColumn("row_id", F.monotonically_increasing_id())
+
+
 def run_etl(spark: SparkSession, business_path: str, review_path: str, folder: str,
             keyword: str = "food") -> tuple[DataFrame, DataFrame]:
     """(raw, aggregated) from the two incoming files."""
@@ -50,18 +56,14 @@ def run_etl(spark: SparkSession, business_path: str, review_path: str, folder: s
     review = cleaning.kept_review(_judged(
         store, "review", cleaning.judge_review(readers.read_lines(spark, review_path))))
     business = store.keep("business", joins.one_per_key(business, "business_id", ["review_count"]))
-    raw = with_date_parts(joins.join_raw(business, review, extra=("review_id",)))
-    return (store.keep("raw", raw),
+    return (store.keep("raw", numbered(joins.join_raw(business, review, extra=("review_id",)))),
             store.keep("aggregated", joins.join_aggregated(business, review)))
 
 
 def stage_text(spark: SparkSession, raw_path: str, aggregated_path: str, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(raw, aggregated) from tab-separated files that were joined before. Reviews get a running
-    number, fixed by writing the table."""
+    """(raw, aggregated) from tab-separated files that were joined before."""
     store = Store(spark, folder)
-    raw = readers.read_raw(spark, raw_path).withColumn(
-        "review_id", F.monotonically_increasing_id().cast("string"))
-    return (store.keep("raw", with_date_parts(raw)),
+    return (store.keep("raw", numbered(readers.read_raw(spark, raw_path))),
             store.keep("aggregated", readers.read_aggregated(spark, aggregated_path)))
 
 
@@ -90,10 +92,10 @@ def run_kpis(store: Store, raw: DataFrame) -> None:
 def run_sentiment(store: Store, raw: DataFrame, lexicon: DataFrame, domain: list[str],
                   stop_words: list[str], rules: bool = True) -> None:
     score = sentiment.rule_sentiment if rules else sentiment.lexicon_sentiment
-    labelled = store.keep("labelled", score(raw, "review_id", "review_text", lexicon, ["stars"])
+    labelled = store.keep("labelled", score(raw, "row_id", "review_text", lexicon, ["stars"])
                           .withColumn("rating_category", sentiment.rating_category("stars")))
     counts = store.keep("word_counts", words.word_counts(
-        raw, "review_id", "review_text", labelled, domain, stop_words))
+        raw, "row_id", "review_text", labelled, domain, stop_words))
     store.publish("word_frequencies", words.word_frequencies(counts), small=True)
     clouds = words.wordclouds(counts)
     for label in ("positive", "negative"):
@@ -114,10 +116,10 @@ def run_trends(store: Store, raw: DataFrame, stop_words: list[str], model: bool
     flagged = store.keep("flagged", trends.spikes_dips(monthly))
     if flagged.isEmpty():
         return
-    reviews = topics.spike_reviews(raw.select("review_id", "review_text", *topics.SEGMENT), flagged)
+    reviews = topics.spike_reviews(raw.select("row_id", "review_text", *topics.SEGMENT), flagged)
     if model:
         found = topics.lda_segment_topics(topics.lda_topics(
-            store.keep("spike_reviews", reviews), "review_id", "review_text", stop_words))
+            store.keep("spike_reviews", reviews), "row_id", "review_text", stop_words))
     else:
         found = topics.segment_topics(topics.topic_token_table(
             reviews, topics.SEGMENT, "review_text", stop_words))

@@ -21,7 +21,7 @@ def write_inputs(folder):
                 reviews.append("\t".join([f"r{i}-{month}-{n}", "u", f"b{i}", str(stars), "0", "0", "0",
                                           texts[(i + month + n) % 4], f"2020-0{month}-1{n} 10:00:00"]))
     (folder / "business.tsv").write_text("\n".join(business + ["broken\tline"]))
-    (folder / "review.tsv").write_text("\n".join(reviews + ["broken"]))
+    (folder / "review.tsv").write_text("\n".join(reviews + [reviews[12], "broken"]))   # one review twice
 
 
 def test_run_all(spark, tmp_path):
@@ -38,14 +38,14 @@ def test_run_all(spark, tmp_path):
     reasons = (spark.read.parquet(str(out / "judged" / "business")).groupBy("reject_reason").count().collect())
     assert {r.reject_reason: r["count"] for r in reasons} == {None: 8, "category": 4, "field_count": 1}
     raw = spark.read.parquet(str(out / "raw"))
-    assert raw.count() == 96 and raw.where("postal like '0%'").count() == 96
-    assert {r.metric: r.value for r in published("summary_kpis").collect()}["total_reviews"] == "96"
-    assert published("business_details").select(F.sum("sum_totalreviews")).first()[0] == 96
+    assert raw.count() == 97 and raw.where("postal like '0%'").count() == 97
+    assert {r.metric: r.value for r in published("summary_kpis").collect()}["total_reviews"] == "97"
+    assert published("business_details").select(F.sum("sum_totalreviews")).first()[0] == 97
     assert published("business_monthly_trends").count() == 48
     report = published("spike_dip_topic_modeling")
     assert report.count() == 40 and report.where("size(topics) = 0").isEmpty()
     summary = published("sentiment_rating_summary").first().asDict()
-    assert sum(int(v) for k, v in summary.items() if k.startswith("sentiment")) == 96
+    assert sum(int(v) for k, v in summary.items() if k.startswith("sentiment")) == 97
     assert published("word_frequencies").count() > 0
     assert published("top5_similar_businesses").count() == 8
     assert published("similar_businesses_enriched").where("city = ''").isEmpty()
@@ -54,6 +54,6 @@ def test_run_all(spark, tmp_path):
     jobs.publish_text(raw, spark.read.parquet(str(out / "aggregated")), str(out / "text"))
     again, aggregated = jobs.stage_text(spark, str(out / "text" / "raw"), str(out / "text" / "aggregated"),
                                         str(tmp_path / "again"))
-    assert again.count() == 96 and again.select("review_id").distinct().count() == 96
-    assert aggregated.select(F.sum("total")).first()[0] == 96
+    assert again.count() == 97 and again.select("row_id").distinct().count() == 97
+    assert aggregated.select(F.sum("total")).first()[0] == 97
     assert json.loads(aggregated.orderBy("business_id").toJSON().first())["postal"].startswith("0")
