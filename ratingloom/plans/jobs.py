@@ -10,11 +10,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratingloom.functions.dates import with_date_parts
 from ratingloom.functions.wordlists import RESTAURANT_WORDS, english_stop_words
-from ratingloom.operators import (cleaning, geo, joins, kpis, places, sentiment, similar, topics,
-                                  trends, words)
+from ratingloom.operators import (cleaning, geo, joins, kpis, places, sampling, sentiment, similar,
+                                  topics, trends, words)
 from ratingloom.sources import readers, schemas, writers
 
 
+# Column names of the published trend tables.
+TREND_NAMES = {"business_id": "business_ID", "name": "business_name"}
+
+
 class Store:
     """Tables below one folder that all executors share."""
 
@@ -73,6 +77,12 @@ def publish_text(raw: DataFrame, aggregated: DataFrame, folder: str) -> None:
     writers.write_tsv(aggregated.select(*[f.name for f in schemas.AGGREGATED]), f"{folder}/aggregated")
 
 
+def sample_text(spark: SparkSession, path: str, out: str, n: int = sampling.ROWS) -> None:
+    """The first ``n`` lines of a text table, in the order of the lines themselves."""
+    lines = readers.read_lines(spark, path)
+    sampling.sample_n(lines, ["value"], n).write.mode("overwrite").text(out)
+
+
 def run_cities(store: Store, aggregated: DataFrame) -> None:
     store.publish("top_categories_per_city", places.top_categories(aggregated))
     store.publish("avg_business_hours", places.avg_days_open(aggregated))
@@ -111,8 +121,9 @@ def run_trends(store: Store, raw: DataFrame, stop_words: list[str], model: bool
     if raw.isEmpty():
         return
     monthly = store.keep("monthly", trends.monthly_trends(raw))
-    store.publish("business_monthly_trends", monthly)
-    store.publish("business_quarterly_trends", trends.quarterly_trends(raw))
+    store.publish("business_monthly_trends", monthly.withColumnsRenamed(TREND_NAMES))
+    store.publish("business_quarterly_trends",
+                  trends.quarterly_trends(raw).withColumnsRenamed(TREND_NAMES))
     flagged = store.keep("flagged", trends.spikes_dips(monthly))
     if flagged.isEmpty():
         return
@@ -125,7 +136,8 @@ def run_trends(store: Store, raw: DataFrame, stop_words: list[str], model: bool
             reviews, topics.SEGMENT, "review_text", stop_words))
     columns = ["business_id", "name", "year", "month", "monthly_avg_rating", "prev_avg_rating",
                "rating_diff", "spike_or_dip"]
-    store.publish("spike_dip_topic_modeling", topics.spike_report(flagged.select(*columns), found))
+    report = topics.spike_report(flagged.select(*columns), found)
+    store.publish("spike_dip_topic_modeling", report.withColumnsRenamed(TREND_NAMES))
 
 
 def run_similar(store: Store, raw: DataFrame, aggregated: DataFrame, **fit) -> None:

@@ -55,12 +55,13 @@ def read_word_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated word and valence; further columns are ignored."""
+    """Tab-separated word and valence, one row per word; further columns are ignored."""
     parts = F.split("value", "\t")
     return (spark.read.text(path)
             .select(F.get(parts, F.lit(0)).alias("word"),
                     F.get(parts, F.lit(1)).try_cast("double").alias("valence"))
-            .where("valence is not null"))
+            .where("valence is not null")
+            .groupBy("word").agg(F.max("valence").alias("valence")))
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:

@@ -42,6 +42,7 @@ def test_run_all(spark, tmp_path):
     assert {r.metric: r.value for r in published("summary_kpis").collect()}["total_reviews"] == "97"
     assert published("business_details").select(F.sum("sum_totalreviews")).first()[0] == 97
     assert published("business_monthly_trends").count() == 48
+    assert {"business_ID", "business_name"} <= set(published("business_quarterly_trends").columns)
     report = published("spike_dip_topic_modeling")
     assert report.count() == 40 and report.where("size(topics) = 0").isEmpty()
     summary = published("sentiment_rating_summary").first().asDict()
@@ -57,3 +58,7 @@ def test_run_all(spark, tmp_path):
     assert again.count() == 97 and again.select("row_id").distinct().count() == 97
     assert aggregated.select(F.sum("total")).first()[0] == 97
     assert json.loads(aggregated.orderBy("business_id").toJSON().first())["postal"].startswith("0")
+
+    jobs.sample_text(spark, str(tmp_path / "review.tsv"), str(out / "sample"), 5)
+    lines = sorted((tmp_path / "review.tsv").read_text().splitlines())
+    assert sorted(r.value for r in spark.read.text(str(out / "sample")).collect()) == lines[:5]
