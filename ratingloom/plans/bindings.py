@@ -60,8 +60,10 @@ rev AS (SELECT CAST(l_suppkey AS VARCHAR) AS business_id,
 
 
 def rounded(expression: str, digits: int) -> str:
-    """SQL that rounds half up on the decimal digits, as Spark does."""
-    return f"CAST(round(CAST({expression} AS DECIMAL(28, 9)), {digits}) AS DOUBLE)"
+    """SQL that rounds half up on the decimal digits, as Spark does. The digits kept before rounding
+    must go far beyond it, or a value just below a tie would be rounded up twice."""
+    kept = 9 if digits <= 2 else 15
+    return f"CAST(round(CAST({expression} AS DECIMAL(28, {kept})), {digits}) AS DOUBLE)"
 
 
 MONTHLY = f"""
