@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratingloom.llm import curriculum, digest_index, url_filter
+from ratingloom.llm import coordinate_join, curriculum, digest_index, url_filter
 from ratingloom.llm.shared import table
 
 
@@ -24,6 +24,11 @@ def op9_digest_index(spark: SparkSession, d: str) -> DataFrame:
                         F.col("digest").alias("text_sha256"))
 
 
+def op10_coordinate_join(spark: SparkSession, d: str) -> DataFrame:
+    found = coordinate_join.near_duplicates(table(spark, d, "documents"), words=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 OP9_SQL = r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h
            FROM documents)
@@ -35,4 +40,5 @@ QUERIES = {
     "op4_curriculum": (op4_curriculum, None),
     "op6_url_filter": (op6_url_filter, None),
     "op9_digest_index": (op9_digest_index, OP9_SQL),
+    "op10_coordinate_join": (op10_coordinate_join, None),
 }
