@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratingloom.llm import coordinate_join, curriculum, digest_index, url_filter
+from ratingloom.llm import (coordinate_join, curriculum, digest_index, piece_counts, target_ratio,
+                            url_filter)
 from ratingloom.llm.shared import table
 
 
+def op3_target_ratio(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return target_ratio.judge(docs, table(spark, d, "labels")).drop("text")
+
+
 def op4_curriculum(spark: SparkSession, d: str) -> DataFrame:
     planned = curriculum.plan(table(spark, d, "documents"))
     return planned.select("doc_id", "size", "source_size", "target", "taken", "positions")
@@ -18,6 +25,11 @@ def op6_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return url_filter.judge(table(spark, d, "pages"), model)
 
 
+def op8_piece_counts(spark: SparkSession, d: str) -> DataFrame:
+    return piece_counts.token_counts(table(spark, d, "documents"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_digest_index(spark: SparkSession, d: str) -> DataFrame:
     found = digest_index.exact_duplicates(table(spark, d, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept",
@@ -37,8 +49,10 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY h)"""
 
 QUERIES = {
+    "op3_target_ratio": (op3_target_ratio, None),
     "op4_curriculum": (op4_curriculum, None),
     "op6_url_filter": (op6_url_filter, None),
+    "op8_piece_counts": (op8_piece_counts, None),
     "op9_digest_index": (op9_digest_index, OP9_SQL),
     "op10_coordinate_join": (op10_coordinate_join, None),
 }
