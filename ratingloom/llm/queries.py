@@ -5,9 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratingloom.llm import (coordinate_join, curriculum, digest_index, piece_counts, target_ratio,
-                            url_filter)
+from ratingloom.llm import (coordinate_join, curriculum, digest_index, piece_counts, sum_of_squares,
+                            target_ratio, token_orc, url_filter)
 from ratingloom.llm.shared import table
+from ratingloom.session import scratch_folder
+
+
+def op2_token_orc(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_folder(spark, "token-orc")
+    token_orc.write_tokens(table(spark, d, "documents"), path,
+                           public_tokenizers.path("word_bpe_49k.json"), end=1)
+    return token_orc.summaries(spark, path)
 
 
 def op3_target_ratio(spark: SparkSession, d: str) -> DataFrame:
@@ -25,6 +33,11 @@ def op6_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return url_filter.judge(table(spark, d, "pages"), model)
 
 
+def op7_sum_of_squares(spark: SparkSession, d: str) -> DataFrame:
+    return sum_of_squares.pack(sum_of_squares.encoded(
+        table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=2))
+
+
 def op8_piece_counts(spark: SparkSession, d: str) -> DataFrame:
     return piece_counts.token_counts(table(spark, d, "documents"),
                                      public_tokenizers.path("piece_bpe_32k.model"))
@@ -49,9 +62,11 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY h)"""
 
 QUERIES = {
+    "op2_token_orc": (op2_token_orc, None),
     "op3_target_ratio": (op3_target_ratio, None),
     "op4_curriculum": (op4_curriculum, None),
     "op6_url_filter": (op6_url_filter, None),
+    "op7_sum_of_squares": (op7_sum_of_squares, None),
     "op8_piece_counts": (op8_piece_counts, None),
     "op9_digest_index": (op9_digest_index, OP9_SQL),
     "op10_coordinate_join": (op10_coordinate_join, None),
