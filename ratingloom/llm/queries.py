@@ -6,11 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratingloom.llm import (coordinate_join, curriculum, digest_index, piece_counts, sum_of_squares,
-                            target_ratio, token_orc, url_filter)
+                            target_ratio, token_orc, url_filter, warc)
 from ratingloom.llm.shared import table
 from ratingloom.session import scratch_folder
 
 
+def op1_warc(spark: SparkSession, d: str) -> DataFrame:
+    found = warc.archive_pages(table(spark, d, "pages"), scratch_folder(spark, "warc"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_token_orc(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_folder(spark, "token-orc")
     token_orc.write_tokens(table(spark, d, "documents"), path,
@@ -61,7 +66,18 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
   doc_id IS NOT DISTINCT FROM min(doc_id) OVER w AS kept, h AS text_sha256
 FROM d WINDOW w AS (PARTITION BY h)"""
 
+OP1_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+ d AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS h FROM p),
+ f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY h) END AS first FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest,
+  CASE WHEN first <> page_id OR (page_id IS NULL AND first IS NOT NULL) THEN 'revisit'
+       ELSE 'response' END AS record_type,
+  CASE WHEN first <> page_id OR page_id IS NULL THEN first END AS refers_to
+FROM f"""
+
 QUERIES = {
+    "op1_warc": (op1_warc, OP1_SQL),
     "op2_token_orc": (op2_token_orc, None),
     "op3_target_ratio": (op3_target_ratio, None),
     "op4_curriculum": (op4_curriculum, None),
