@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratingloom.llm import (coordinate_join, curriculum, digest_index, piece_counts, sum_of_squares,
-                            target_ratio, token_orc, url_filter, warc)
+from ratingloom.llm import (coordinate_join, curriculum, digest_index, piece_counts, secret_crf,
+                            sum_of_squares, target_ratio, token_orc, url_filter, warc)
 from ratingloom.llm.shared import table
 from ratingloom.session import scratch_folder
 
@@ -33,6 +33,11 @@ def op4_curriculum(spark: SparkSession, d: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", "taken", "positions")
 
 
+def op5_secret_crf(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return secret_crf.find_secrets(docs, secret_crf.fit(docs))
+
+
 def op6_url_filter(spark: SparkSession, d: str) -> DataFrame:
     model = url_filter.fit(url_filter.labelled_urls(spark))
     return url_filter.judge(table(spark, d, "pages"), model)
@@ -81,6 +86,7 @@ QUERIES = {
     "op2_token_orc": (op2_token_orc, None),
     "op3_target_ratio": (op3_target_ratio, None),
     "op4_curriculum": (op4_curriculum, None),
+    "op5_secret_crf": (op5_secret_crf, None),
     "op6_url_filter": (op6_url_filter, None),
     "op7_sum_of_squares": (op7_sum_of_squares, None),
     "op8_piece_counts": (op8_piece_counts, None),
