@@ -81,8 +81,9 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS,
     A source's documents stand in an order drawn by a hash of ``seed``, id and text. Every document
     is read once for each whole multiple of its source's size in the target. Of the remainder, those
     that fit into it from the front of the order are read once more. What they leave over is filled,
-    from large to small, with one document of each size class (sizes between two powers of two)
-    where it fits. So only whole documents are read, at most ``epochs`` times each.
+    from large to small, with up to three documents of each size class (sizes between two powers of
+    two) that still fit; or with the smallest document that exceeds it, if that comes nearer to the
+    target. So only whole documents are read, at most ``epochs`` times each.
 
     Null texts and texts without words have size 0 and are read like others. A null source is a
     source of its own. Rows with the same id and text are documents of their own; their answers may
@@ -121,25 +122,34 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS,
         F.max(F.when(F.col("fits"), F.col("end"))).alias("reached"), F.first("left").alias("left"))
         .select(F.col("source").alias("_source"),
                 (F.col("left") - F.coalesce("reached", F.lit(0))).alias("gap")))
-    key = F.struct("order", "doc_id", "text_hash", "size")
-    one_per_class = (placed.where(~F.col("fits") & (F.col("size") > 0))
-                     .join(front, F.col("source").eqNullSafe(F.col("_source")))
-                     .where(F.col("size") <= F.col("gap"))
-                     .groupBy("source", F.floor(F.log2("size")).alias("class"))
-                     .agg(F.min(key).alias("key"), F.first("gap").alias("gap")))
-    start = F.struct(F.col("gap").alias("gap"),
-                     F.array().cast("array<struct<order:bigint,doc_id:bigint,text_hash:bigint,"
-                                    "size:bigint>>").alias("taken"))
+    # By size class up to the gap three documents, and the smallest that exceeds it.
+    key = F.struct("size", "order", "doc_id", "text_hash")
+    by_order = F.struct("order", "doc_id", "text_hash", "size")
+    open_docs = (placed.where(~F.col("fits") & (F.col("size") > 0))
+                 .join(front, F.col("source").eqNullSafe(F.col("_source")))
+                 .withColumn("class", F.when(F.col("size") > F.col("gap"), -1)
+                             .otherwise(F.floor(F.log2("size")))))
+    some = [F.struct(*[F.col(f"{c}.{k}").alias(k) for k in ("size", "order", "doc_id", "text_hash")])
+            for c in ("largest", "early", "late")]
+    per_class = (open_docs.groupBy("source", "class")
+                 .agg(F.min(key).alias("smallest"), F.max(key).alias("largest"),
+                      F.min(by_order).alias("early"), F.max(by_order).alias("late"),
+                      F.first("gap").alias("gap"))
+                 .select("source", "gap", F.when(F.col("class") < 0, F.col("smallest")).alias("over"),
+                         F.when(F.col("class") >= 0, F.array(*some)).alias("under")))
+    start = F.struct(F.col("gap").alias("gap"), F.array().cast(dict(per_class.dtypes)["under"]).alias("taken"))
     filled = F.aggregate(
-        "keys", start,
-        lambda got, k: F.when(k["key"]["size"] <= got["gap"],
-                              F.struct((got["gap"] - k["key"]["size"]).alias("gap"),
-                                       F.array_append(got["taken"], k["key"]).alias("taken")))
-        .otherwise(got), lambda got: got["taken"])
-    filler = (one_per_class.groupBy("source")
-              .agg(F.reverse(F.array_sort(F.collect_list(F.struct("class", "key")))).alias("keys"),
-                   F.first("gap").alias("gap"))
-              .select(F.col("source").alias("_source"), filled.alias("_taken")))
+        F.reverse(F.array_sort(F.array_distinct(F.flatten("under")))), start,
+        lambda got, k: F.when(k["size"] <= got["gap"],
+                              F.struct((got["gap"] - k["size"]).alias("gap"),
+                                       F.array_append(got["taken"], k).alias("taken")))
+        .otherwise(got))
+    filler = (per_class.groupBy("source").agg(F.first("gap").alias("gap"), F.max("over").alias("over"),
+                                              F.collect_list("under").alias("under"))
+              .withColumn("fill", filled)
+              .select(F.col("source").alias("_source"),
+                      F.when(F.col("over.size") - F.col("gap") < F.col("fill.gap"), F.array("over"))
+                      .otherwise(F.col("fill.taken")).alias("_taken")))
     chosen = F.coalesce(~F.col("fits") & F.exists("_taken", lambda k: (
         (k["order"] == F.col("order")) & k["doc_id"].eqNullSafe(F.col("doc_id"))
         & (k["text_hash"] == F.col("text_hash")))), F.lit(False))
