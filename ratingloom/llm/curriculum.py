@@ -13,7 +13,7 @@ from ratingloom.llm.shared import WORD, row_hash, written
 
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
-SLICE_ROWS = 20_000
+SLICE_ROWS = 2_000
 # (time, weight factor) knots by rank of the source's weight: heavy sources lead, light ones end.
 SCHEDULES = (((0.0, 1.5), (0.5, 1.0), (1.0, 0.5)),
              ((0.0, 1.0), (1.0, 1.0)),
