@@ -163,7 +163,7 @@ def test_url_query(spark):
         host, path, rule, verdict = verdict_of(urls.pop(r["page_id"]))
         assert (r["host"], r["path"], r["rule"]) == (host, path, rule) and r["verdict"] == (verdict or r["by_model"])
     assert not urls
-    plan = found._jdf.queryExecution().toString()
+    plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "html" not in plan and "Python" not in plan
 
 
