@@ -9,10 +9,8 @@ from ratingloom.functions.states import STATE_NAMES
 from ratingloom.operators.spread import lookup_join
 from ratingloom.sources.schemas import STARS
 
-# Limits of the score bands, most points shown as single markers, and the pixels of
-# a map tile and of a cluster cell.
+# Limits of the score bands, and the pixels of a map tile and of a cluster cell.
 BAND = 0.25
-MARKERS = 2000
 TILE_PIXELS = 256
 CELL_PIXELS = 60
 
@@ -38,9 +36,9 @@ def geo_points(aggregated: DataFrame) -> DataFrame:
         "postal", "avg_star_rating", "categories", "opening_hours")
 
 
-def geo_markers(points: DataFrame, order_by: list[str], n: int = MARKERS) -> DataFrame:
-    """The points drawn one by one on a map: the first ``n`` by a stated order."""
-    return points.orderBy(*order_by).limit(n)
+def geo_markers(points: DataFrame, order_by: list[str]) -> DataFrame:
+    """All points in the order in which a map draws them one by one."""
+    return points.orderBy(*order_by)
 
 
 def band_of(score: Column | str) -> Column:

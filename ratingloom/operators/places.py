@@ -25,10 +25,14 @@ def with_category(df: DataFrame) -> DataFrame:
 
 
 def top_categories(aggregated: DataFrame) -> DataFrame:
-    """Businesses per (state, city, category), biggest first within a city."""
+    """Businesses per (state, city, category), in no order."""
     return (with_category(aggregated.select("state", "city", "categories"))
-            .groupBy("state", "city", "category").agg(F.count("*").alias("business_count"))
-            .orderBy("state", "city", F.desc("business_count"), "category"))
+            .groupBy("state", "city", "category").agg(F.count("*").alias("business_count")))
+
+
+def biggest_first(top: DataFrame) -> DataFrame:
+    """The category table as published: a city's biggest categories first."""
+    return top.orderBy("state", "city", F.desc("business_count"), "category")
 
 
 def avg_days_open(aggregated: DataFrame, closed_value: str | None = None) -> DataFrame:
@@ -40,12 +44,16 @@ def avg_days_open(aggregated: DataFrame, closed_value: str | None = None) -> Dat
 
 
 def hotspots(aggregated: DataFrame) -> DataFrame:
-    """Review totals per (category, state, city), biggest first within a category."""
+    """Review totals per (category, state, city), in no order."""
     sums = [F.sum("total").alias("total_reviews")]
     sums += [F.sum(STARS[i]).alias(f"sum_{i}stars") for i in reversed(range(6))]
     return (with_category(aggregated.select("state", "city", "categories", "total", *STARS))
-            .groupBy("category", "state", "city").agg(*sums)
-            .orderBy("category", F.desc("total_reviews"), "state", "city"))
+            .groupBy("category", "state", "city").agg(*sums))
+
+
+def hottest_first(spots: DataFrame) -> DataFrame:
+    """The hotspot table as published: a category's cities with most reviews first."""
+    return spots.orderBy("category", F.desc("total_reviews"), "state", "city")
 
 
 def business_details(aggregated: DataFrame) -> DataFrame:

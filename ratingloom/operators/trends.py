@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ratingloom.functions.dates import month_label, quarter_label, with_date_parts
 from ratingloom.functions.numbers import mean_of, spread_of
@@ -41,23 +41,6 @@ def with_business(trend: DataFrame, business: DataFrame, attributes: list[str])
     return trend.join(business.select("business_id", *columns), "business_id")
 
 
-def monthly_trends(dated: DataFrame) -> DataFrame:
-    """Monthly ratings keyed also by the business attributes the review table carries."""
-    carried = [a for a in MONTH_ATTRIBUTES if a in dated.columns]
-    return dated.groupBy("business_id", *carried, "year", "month").agg(
-        mean_of("stars").alias("monthly_avg_rating"),
-        spread_of("stars").alias("monthly_rating_std"),
-        F.count("*").alias("review_volume"))
-
-
-def quarterly_trends(dated: DataFrame) -> DataFrame:
-    carried = [a for a in QUARTER_ATTRIBUTES if a in dated.columns]
-    return dated.groupBy("business_id", *carried, "year", "quarter").agg(
-        mean_of("stars").alias("avg_quarterly_rating"),
-        F.count("*").alias("total_reviews"),
-        spread_of("stars").alias("rating_volatility"))
-
-
 def month_over_month(monthly: DataFrame) -> DataFrame:
     """Adds the rating of the previous month that has reviews, and the difference.
 
@@ -70,18 +53,24 @@ def month_over_month(monthly: DataFrame) -> DataFrame:
                         F.round(F.col("monthly_avg_rating") - F.col("prev_avg_rating"), 2)))
 
 
+def flag_of(threshold: float) -> Column:
+    diff = F.col("rating_diff")
+    return F.when(diff > threshold, "spike").when(diff < -threshold, "dip")
+
+
 def spikes_dips(monthly: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The months whose rating rose or fell by more than ``threshold``."""
-    diff = F.col("rating_diff")
-    flag = F.when(diff > threshold, "spike").when(diff < -threshold, "dip")
+    flag = flag_of(threshold)
     return month_over_month(monthly).withColumn("spike_or_dip", flag).where(flag.isNotNull())
 
 
-def series_with_spikes(monthly: DataFrame, flagged: DataFrame) -> DataFrame:
-    """The monthly series with the flag of each month, if any. Both sides hold one row per
-    (business, year, month)."""
-    keys = ["business_id", "year", "month"]
-    return monthly.join(flagged.select(*keys, "rating_diff", "spike_or_dip"), keys, "left")
+def series_with_spikes(monthly: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The monthly series with the flag of each month, if any, and the difference of a flagged one. The
+    flag is a column of the same window as the difference, so the series is computed once."""
+    flag = flag_of(threshold)
+    return (month_over_month(monthly).withColumn("spike_or_dip", flag)
+            .withColumn("rating_diff", F.when(F.col("spike_or_dip").isNotNull(), F.col("rating_diff")))
+            .drop("prev_avg_rating"))
 
 
 def rating_series(trend: DataFrame, period: str, business_id: str | None = None,

@@ -36,7 +36,7 @@ def review_lines(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("l_orderkey") + F.col("l_linenumber")
     key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     stars = F.ceil(F.col("l_quantity") / 10).cast("string")
-    return readers.spread_small(b.table(spark, d, "lineitem"), "l_orderkey").select(F.concat_ws(
+    return b.table(spark, d, "lineitem").select(F.concat_ws(
         "\t", key, F.lit("u"), F.col("l_partkey").cast("string"),
         F.when(k % 5 == 0, "6").when(k % 23 == 0, "many").otherwise(stars),
         F.lit("0"), F.lit("0"), F.lit("0"),
@@ -52,7 +52,7 @@ bin AS (SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS business_id, p_name
     lpad(CAST(p_partkey AS VARCHAR), 5, '0') AS postal, CAST(p_partkey % 90 AS DOUBLE) AS lat,
     CAST(p_partkey % 180 AS DOUBLE) AS lon, p_size AS review_count,
     CASE WHEN p_partkey % 17 = 0 THEN 'Shop, ' ELSE 'Food, ' END || replace(p_name, ' ', ', ')
-      AS categories,
+      AS categories, '{''Monday'': ''8:0-17:0''}' AS opening_hours,
     CASE WHEN p_partkey % 7 = 0 THEN 'field_count' WHEN p_partkey % 17 = 0 THEN 'category'
       WHEN p_partkey % 11 = 0 THEN 'missing_field' WHEN p_partkey % 13 = 0 THEN 'bad_number'
       WHEN p_partkey % 19 = 0 THEN 'blank_field' END AS reject_reason
@@ -70,7 +70,7 @@ rin AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHA
 
 
 def clean_business(spark, d):
-    return cleaning.clean_business(business_lines(spark, d))[0].drop("opening_hours")
+    return cleaning.clean_business(business_lines(spark, d))[0]
 
 
 def clean_review(spark, d):
@@ -135,18 +135,22 @@ def numeric_fns(spark, d):
 # --- joins and histograms -------------------------------------------------------------------------
 
 def join_raw(spark, d):
-    business = b.partbiz(spark, d).where(F.col("business_id").cast("int") % 4 != 0)
+    """Every fourth business goes by another id, so that its reviews find none."""
+    business = b.partbiz(spark, d).withColumn("business_id", F.when(
+        F.col("business_id").cast("int") % 4 == 0, F.concat(F.lit("x"), "business_id")).otherwise(F.col("business_id")))
     reviews = b.table(spark, d, "lineitem").select(
         F.col("l_partkey").cast("string").alias("business_id"),
         F.ceil(F.col("l_quantity") / 10).cast("double").alias("stars"),
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
         .alias("review_text"))
-    return joins.join_raw(business, reviews).drop("lat", "lon", "opening_hours")
+    return joins.join_raw(business, reviews)
 
 
 def join_aggregated(spark, d):
-    reviews = b.prev(spark, d).where(F.col("business_id").cast("int") % 9 != 0)
-    return joins.join_aggregated(b.partbiz(spark, d), reviews).drop("lat", "lon")
+    """Reviews of every ninth business go to unknown ids."""
+    reviews = b.prev(spark, d).withColumn("business_id", F.when(
+        F.col("business_id").cast("int") % 9 == 0, F.concat(F.lit("x"), "business_id")).otherwise(F.col("business_id")))
+    return joins.join_aggregated(b.partbiz(spark, d), reviews)
 
 
 def star_histogram(spark, d):
@@ -193,13 +197,23 @@ def load_raw(spark, d):
     folder = scratch_folder(spark, "raw")
     writers.write_tsv(joins.join_raw(joins.one_per_key(business, "business_id", ["review_count"]), review),
                       folder)
-    return readers.read_raw(spark, folder).drop("opening_hours")
+    return readers.read_raw(spark, folder)
 
 
 def roundtrip_tsv(spark, d):
     folder = scratch_folder(spark, "aggregated")
     writers.write_tsv(b.aggregated(spark, d), folder)
-    return readers.read_aggregated(spark, folder).drop("lat", "lon")
+    return readers.read_aggregated(spark, folder)
+
+
+def roundtrip_text(spark, d):
+    """Document texts with tabs, line ends, blanks at the ends, backslashes, empty and null."""
+    folder = scratch_folder(spark, "texts")
+    kind = F.col("doc_id") % 6
+    text = (F.when(kind == 0, F.concat(F.lit(" \\t\t"), "text", F.lit("\r\n\\"))).when(kind == 1, "")
+            .when(kind != 2, F.col("text")))
+    writers.write_tsv(b.table(spark, d, "documents").select("doc_id", text.alias("text"), "source"), folder)
+    return readers.read_tsv(spark, folder, b.table(spark, d, "documents").select("doc_id", "text", "source").schema)
 
 
 def publish_json(spark, d):
@@ -207,8 +221,7 @@ def publish_json(spark, d):
     details = places.business_details(b.aggregated(spark, d))
     writers.write_json(details, folder)
     back = readers.read_json_lines(spark, folder, details.schema)
-    return back.select("business_id", "avg_rating", "sum_totalreviews",
-                       F.size("hours").alias("days"), F.col("hours")[1].alias("tuesday"))
+    return back.withColumn("hours", F.array_join("hours", "|", "-"))
 
 
 def read_published(spark, d):
@@ -237,12 +250,12 @@ long_ AS (SELECT 'total_businesses' AS metric, format('{{:,}}', total_businesses
   UNION ALL SELECT 'num_cities', format('{{:,}}', num_cities) FROM k
   UNION ALL SELECT 'overall_avg_rating', CAST(overall_avg_rating AS VARCHAR) FROM k)"""
 
-PLACE_COLUMNS = "business_id, name, address, city, state, postal, categories"
+PLACE_COLUMNS = "business_id, name, address, city, state, postal, lat, lon, categories, opening_hours"
 STAR_COLUMNS = ", ".join(f"star{i}" for i in range(6))
 
 QUERIES = {
     "clean_business": (clean_business, b.with_views([BUSINESS_IN], """
-SELECT business_id, name, address, city, state, postal, lat, lon, review_count, categories
+SELECT business_id, name, address, city, state, postal, lat, lon, review_count, categories, opening_hours
 FROM bin WHERE reject_reason IS NULL""")),
     "clean_review": (clean_review, b.with_views([REVIEW_IN], """
 SELECT review_id, business_id, stars, review_text, datetime FROM rin WHERE reject_reason IS NULL""")),
@@ -282,7 +295,7 @@ FROM lineitem JOIN partbiz ON l_partkey = p_partkey WHERE p_partkey % 4 <> 0""")
     "join_aggregated": (join_aggregated, b.with_views(
         [b.PARTBIZ, b.PREV.replace("FROM lineitem", "FROM lineitem WHERE l_partkey % 9 <> 0"),
          b.AGGREGATED],
-        f"SELECT {PLACE_COLUMNS}, opening_hours, {STAR_COLUMNS}, total FROM agg")),
+        f"SELECT {PLACE_COLUMNS}, {STAR_COLUMNS}, total FROM agg")),
     "star_histogram": (star_histogram, "SELECT l_partkey AS business_id, " + ", ".join(
         f"count(*) FILTER (WHERE floor(l_quantity / 10 + 5e-1) = {i}) AS star{i}" for i in range(6))
         + ", count(*) AS total FROM lineitem GROUP BY l_partkey"),
@@ -303,15 +316,14 @@ ORDER BY l_suppkey, l_orderkey, l_linenumber, l_quantity"""),
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem
 ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity LIMIT 1000"""),
     "load_raw": (load_raw, b.with_views([BUSINESS_IN, REVIEW_IN], """
-SELECT business_id, name, address, city, state, postal, lat, lon, categories, stars, review_text, datetime
+SELECT business_id, name, address, city, state, postal, lat, lon, categories, opening_hours, stars, review_text,
+  datetime
 FROM rin JOIN bin USING (business_id) WHERE rin.reject_reason IS NULL AND bin.reject_reason IS NULL""")),
     "roundtrip_tsv": (roundtrip_tsv, b.with_views([b.PARTBIZ, b.PREV, b.AGGREGATED],
-        f"SELECT {PLACE_COLUMNS}, opening_hours, {STAR_COLUMNS}, total FROM agg")),
-    "publish_json": (publish_json, b.with_views([b.PARTBIZ, b.PREV, b.AGGREGATED], f"""
-SELECT business_id, coalesce({b.rounded(
-        '(star1 + 2 * star2 + 3 * star3 + 4 * star4 + 5 * star5) / CAST(nullif(total, 0) AS DOUBLE)', 2)}, 0e0)
-    AS avg_rating, total AS sum_totalreviews, CAST(7 AS INTEGER) AS days,
-  CASE WHEN p_partkey % 10 <> 0 AND (p_size >> 1) % 2 = 1 THEN '8:0-17:0' END AS tuesday FROM agg""")),
+        f"SELECT {PLACE_COLUMNS}, {STAR_COLUMNS}, total FROM agg")),
+    "roundtrip_text": (roundtrip_text, r"""
+SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN ' \t' || chr(9) || text || chr(13) || chr(10) || chr(92) WHEN 1 THEN ''
+  WHEN 2 THEN NULL ELSE text END AS text, source FROM documents"""),
     "read_published": (read_published, b.with_views([b.REV, b.BIZ, KPI_SQL],
         "SELECT * FROM long_ UNION ALL SELECT * FROM long_ UNION ALL SELECT * FROM long_")),
 }

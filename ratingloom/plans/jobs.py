@@ -84,9 +84,9 @@ def sample_text(spark: SparkSession, path: str, out: str, n: int = sampling.ROWS
 
 
 def run_cities(store: Store, aggregated: DataFrame) -> None:
-    store.publish("top_categories_per_city", places.top_categories(aggregated))
+    store.publish("top_categories_per_city", places.biggest_first(places.top_categories(aggregated)))
     store.publish("avg_business_hours", places.avg_days_open(aggregated))
-    store.publish("hotspot_cities_per_category", places.hotspots(aggregated))
+    store.publish("hotspot_cities_per_category", places.hottest_first(places.hotspots(aggregated)))
     store.publish("business_details", places.business_details(aggregated))
 
 
@@ -120,11 +120,14 @@ def run_trends(store: Store, raw: DataFrame, stop_words: list[str], model: bool
     raw = cleaning.drop_null_keys(raw, ["business_id", "stars", "datetime"])
     if raw.isEmpty():
         return
-    monthly = store.keep("monthly", trends.monthly_trends(raw))
-    store.publish("business_monthly_trends", monthly.withColumnsRenamed(TREND_NAMES))
-    store.publish("business_quarterly_trends",
-                  trends.quarterly_trends(raw).withColumnsRenamed(TREND_NAMES))
-    flagged = store.keep("flagged", trends.spikes_dips(monthly))
+    places_of = store.keep("places", places.distinct_business(
+        raw.select("business_id", *trends.MONTH_ATTRIBUTES)))
+    monthly = store.keep("monthly", trends.monthly_ratings(raw))
+    store.publish("business_monthly_trends", trends.with_business(
+        monthly, places_of, trends.MONTH_ATTRIBUTES).withColumnsRenamed(TREND_NAMES))
+    store.publish("business_quarterly_trends", trends.with_business(
+        trends.quarterly_ratings(raw), places_of, trends.QUARTER_ATTRIBUTES).withColumnsRenamed(TREND_NAMES))
+    flagged = store.keep("flagged", trends.with_business(trends.spikes_dips(monthly), places_of, ["name"]))
     if flagged.isEmpty():
         return
     reviews = topics.spike_reviews(raw.select("row_id", "review_text", *topics.SEGMENT), flagged)

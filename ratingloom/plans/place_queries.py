@@ -5,24 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ratingloom.functions import hours
-from ratingloom.operators import geo, joins, kpis, places
+from ratingloom.operators import geo, kpis, places
 from ratingloom.plans import bindings as b
-from ratingloom.plans.cleaning_queries import KPI_SQL
+from ratingloom.plans.cleaning_queries import KPI_SQL, publish_json
 from ratingloom.sources import readers
 
 
-def _located(spark, d):
-    places_of = b.biz(spark, d).select("business_id", "city", "state")
-    reviews = b.rev(spark, d).select("business_id", "stars")
-    return joins.join_raw(places_of, reviews)
-
-
 def summary_kpis(spark, d):
-    return kpis.summary_kpis(_located(spark, d))
+    return kpis.summary_kpis(b.rev(spark, d), b.biz(spark, d))
 
 
 def kpis_long(spark, d):
-    return kpis.kpis_long(_located(spark, d))
+    return kpis.kpis_long(b.rev(spark, d), b.biz(spark, d))
 
 
 def top_categories(spark, d):
@@ -80,7 +74,7 @@ def hours_display(spark, d):
 
 def business_details(spark, d):
     details = places.business_details(b.aggregated(spark, d))
-    return details.withColumn("hours", F.array_join("hours", "|", "-")).drop("latitude", "longitude")
+    return details.withColumn("hours", F.array_join("hours", "|", "-"))
 
 
 def distinct_places(spark, d):
@@ -155,7 +149,7 @@ def region_bounds(spark, d):
     hole = ring(x - 50, y - 50, 200.0)
     single = feature("Polygon", F.array(ring(x, y, 0.5), hole))
     double = feature("MultiPolygon", F.array(F.array(ring(x, y, 0.5), hole), F.array(ring(x, y, -0.5))))
-    lines = readers.spread_small(b.partbiz(spark, d), "business_id").select(
+    lines = b.partbiz(spark, d).select(
         F.when(F.col("business_id").cast("int") % 2 == 0, double).otherwise(single).alias("value"))
     return geo.region_bounds(readers.vertices(readers.parse_features(lines)))
 
@@ -194,6 +188,11 @@ SHOWN_SQL = " || '; ' || ".join(
 LINES_SQL = ("CASE WHEN p_partkey % 10 = 0 THEN 'Unavailable' ELSE "
              "replace(replace(replace(replace(opening_hours, ', ', '; '), '{', ''), '}', ''), '''', '') END")
 
+DETAILS = b.with_views(AGG, f"""
+SELECT business_id, name AS business_name, city, state, lat AS latitude, lon AS longitude, """ + ", ".join(
+        f"star{i} AS sum_star{i}" for i in range(6)) + f""", total AS sum_totalreviews,
+  {MEAN_STAR} AS avg_rating, categories, address, postal AS postal_code, {WEEK_SQL} AS hours FROM agg""")
+
 QUERIES = {
     "summary_kpis": (summary_kpis, b.with_views([b.REV, b.BIZ, KPI_SQL], "SELECT * FROM k")),
     "kpis_long": (kpis_long, b.with_views([b.REV, b.BIZ, KPI_SQL], "SELECT * FROM long_")),
@@ -228,10 +227,8 @@ SELECT state, city, avg(n - CASE WHEN p_partkey % 7 = 0 AND p_size % 2 = 1 THEN
 SELECT city, avg(n) AS avg_days_open_per_business FROM days WHERE state = 'ECONOMY' GROUP BY city""")),
     "hours_display": (hours_display, b.with_views([b.PARTBIZ],
         f"SELECT business_id, {SHOWN_SQL} AS week, {LINES_SQL} AS lines FROM partbiz")),
-    "business_details": (business_details, b.with_views(AGG, f"""
-SELECT business_id, name AS business_name, city, state, """ + ", ".join(
-        f"star{i} AS sum_star{i}" for i in range(6)) + f""", total AS sum_totalreviews,
-  {MEAN_STAR} AS avg_rating, categories, address, postal AS postal_code, {WEEK_SQL} AS hours FROM agg""")),
+    "business_details": (business_details, DETAILS),
+    "publish_json": (publish_json, DETAILS),
     "distinct_places": (distinct_places, "SELECT DISTINCT p_type AS state, p_brand AS city FROM part"),
     "distinct_business": (distinct_business, """
 SELECT l_partkey AS business_id, min(l_returnflag) AS l_returnflag,
@@ -249,7 +246,7 @@ SELECT avg_star_rating, count(*) AS businesses FROM pts GROUP BY avg_star_rating
 SELECT name, lat, lon, weight, address, state, postal, avg_star_rating, categories, opening_hours
 FROM pts""")),
     "geo_markers": (geo_markers, b.with_views(POINTS, """
-SELECT postal, lat, lon, weight FROM pts ORDER BY postal LIMIT 2000""")),
+SELECT postal, lat, lon, weight FROM pts""")),
     "score_bands": (score_bands, b.with_views(POINTS, """
 SELECT CASE WHEN weight > 0.25 THEN 'positive' WHEN weight < -0.25 THEN 'negative'
   WHEN weight IS NOT NULL THEN 'neutral' END AS band, count(*) AS points FROM pts GROUP BY 1""")),

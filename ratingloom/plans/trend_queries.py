@@ -28,8 +28,7 @@ def spikes_dips(spark, d):
 
 
 def series_with_spikes(spark, d):
-    monthly = b.monthly(spark, d)
-    return trends.series_with_spikes(monthly, trends.spikes_dips(monthly))
+    return trends.series_with_spikes(b.monthly(spark, d))
 
 
 def rating_series(spark, d):
@@ -37,7 +36,7 @@ def rating_series(spark, d):
 
 
 def rating_series_quarter(spark, d):
-    return trends.rating_series(trends.quarterly_ratings(b.dated(spark, d)), "quarter", year=1999)
+    return trends.rating_series(trends.quarterly_ratings(b.dated(spark, d)), "quarter")
 
 
 def period_labels(spark, d):
@@ -72,7 +71,7 @@ SELECT business_id, CAST(year AS VARCHAR) || '-' || lpad(CAST(month AS VARCHAR),
 SELECT business_id, CAST(year AS VARCHAR) || '-Q' || CAST(quarter AS VARCHAR) AS label,
   avg_quarterly_rating AS rating,
   {TWO_DIGITS.replace('monthly_avg_rating', 'avg_quarterly_rating')} AS rating_text
-FROM quarterly WHERE year = 1999""")),
+FROM quarterly""")),
     "period_labels": (period_labels, b.with_views(SERIES, """
 SELECT year, month, count(*) AS businesses FROM monthly GROUP BY year, month""")),
 }

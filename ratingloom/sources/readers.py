@@ -9,20 +9,24 @@ from pyspark.sql.types import StructType
 from ratingloom.sources import schemas
 
 
-def spread_small(df: DataFrame, key: str) -> DataFrame:
-    """A table with fewer input splits than the session has cores is dealt over them by ``key``,
-    so that heavy work per row does not run in one task. Anything bigger stays as it is read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One column ``value``, one row per line."""
     return spark.read.text(path)
 
 
 def read_tsv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.csv(path, schema=schema, sep="\t", header=False, quote="", escape="")
+    """Fields by position, cast to the schema's types; null where a field is missing, written as
+    ``\\N`` or no number. Escapes are those of ``writers.write_tsv``; quotes mean nothing."""
+    fields = F.split("value", "\t", -1)
+
+    def value(i: int):
+        field = F.get(fields, F.lit(i))
+        plain = F.transform(F.split(field, r"\\\\", -1), lambda part: F.replace(F.replace(F.replace(
+            part, F.lit("\\t"), F.lit("\t")), F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+        return F.when(field != "\\N", F.array_join(plain, "\\"))
+
+    return spark.read.text(path, lineSep="\n").select(
+        *[value(i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:

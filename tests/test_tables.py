@@ -29,7 +29,7 @@ def test_categories(spark):
     df = spark.createDataFrame(
         [("X", "S", "Food,"), ("X", "S", "Food, food , BAR"), ("X", "S", ""), ("X", "S", None)],
         "city string, state string, categories string")
-    got = [tuple(r)[2:] for r in places.top_categories(df).collect()]
+    got = [tuple(r)[2:] for r in places.biggest_first(places.top_categories(df)).collect()]
     assert got == [("food", 3), ("", 2), ("bar", 1)]
     assert [tuple(r) for r in places.category_vocab(df).collect()] == [("food", 3)]
 
@@ -79,9 +79,9 @@ def test_single_review_month_has_no_spread(spark):
     raw = spark.createDataFrame(
         [("a", "N", 4.0, "2020-01-02 00:00:00"), ("a", "N", None, "2020-01-02 00:00:00"), (None, "N", 1.0, "x")],
         "business_id string, name string, stars double, datetime string")
-    row = trends.monthly_trends(trends.prepare(raw)).first()
+    row = trends.monthly_ratings(trends.prepare(raw)).first()
     assert (row.monthly_avg_rating, row.monthly_rating_std, row.review_volume) == (4.0, 0.0, 1)
-    quarter = trends.rating_series(trends.quarterly_trends(trends.prepare(raw)), "quarter").first()
+    quarter = trends.rating_series(trends.quarterly_ratings(trends.prepare(raw)), "quarter").first()
     assert (quarter.label, quarter.rating_text) == ("2020-Q1", "4.00")
 
 
