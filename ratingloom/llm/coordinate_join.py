@@ -30,7 +30,7 @@ COORDINATES = 32
 # some 10 million times.
 MATCHES = 14
 SHORT = 32
-BLOCK = 1024
+BLOCK = 512
 NO_ID = 1 << 62
 
 
@@ -154,11 +154,13 @@ def full_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, words: int) -
 
 
 def across_classes(lists: DataFrame, sets: DataFrame, found: DataFrame, long_lists: DataFrame,
-                   matches: int, block: int) -> DataFrame:
-    """Pairs (a, b) with enough collisions among members of a long list that are in different classes.
+                   full: DataFrame, matches: int, percent: int, block: int) -> DataFrame:
+    """Links (a, b) among members of a long list that are in different classes.
 
     In each list the members outside its largest class are dealt into blocks, and every block meets
-    all members in blocks. A task holds two blocks and emits only pairs that pass the count.
+    all members in blocks. A task holds the signatures and sets of two blocks: it counts collisions,
+    confirms the pairs that have enough on the sets, and emits of a member's links into one class
+    one, which is all that classes need.
     """
     labelled = (lists.join(long_lists.select("key", "n"), "key").join(found, "node", "left")
                 .withColumn("label", F.coalesce("component", "node")).drop("component"))
@@ -167,7 +169,8 @@ def across_classes(lists: DataFrame, sets: DataFrame, found: DataFrame, long_lis
                                       F.max("m").alias("m")).where("m < n")
              .select("key", "main", F.ceil((F.col("n") - F.col("m")) / block).cast("int").alias("few"),
                      F.ceil(F.col("n") / block).cast("int").alias("all")))
-    rows = labelled.drop("n").join(parts, "key").join(sets.select("node", "keys"), "node")
+    rows = (labelled.drop("n").join(parts, "key").join(sets.select("node", "keys"), "node")
+            .join(full, "node"))
     at = F.xxhash64("node", "key")
     right = rows.select("*", F.lit(False).alias("left"),
                         F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"),
@@ -180,17 +183,30 @@ def across_classes(lists: DataFrame, sets: DataFrame, found: DataFrame, long_lis
         one, two = group[group["left"]], group[~group["left"]]
         if one.empty or two.empty:
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        keys, pos, pairs = np.stack(two["keys"].to_list()), int(group["pos"].iloc[0]), []
+        keys, pos, links = np.stack(two["keys"].to_list()), int(group["pos"].iloc[0]), []
         nodes, labels, masks = (two[c].to_numpy() for c in ("node", "label", "prefix"))
+        others = [x.view(np.uint64) for x in two["shingles"]]
+        sizes = np.array([len(x) for x in others])
         bits = np.int64(1) << np.arange(keys.shape[1], dtype=np.int64)
-        for node, label, prefix, mine in zip(one["node"], one["label"], one["prefix"], one["keys"]):
-            same = keys == mine
+        for node, label, prefix, mine, own in zip(*(one[c] for c in ("node", "label", "prefix", "keys",
+                                                                     "shingles"))):
+            own, same = own.view(np.uint64), keys == mine
             both = same & ((masks & prefix)[:, None] & bits != 0)
-            take = (same.sum(axis=1) >= matches) & (labels != label) & (both.argmax(axis=1) == pos)
-            pairs += [(min(node, x), max(node, x)) for x in nodes[take]]
-        return pd.DataFrame(pairs, columns=["a", "b"]).astype("int64")
-
-    return (left.union(right).select("key", "pos", "node", "prefix", "label", "left", "i", "j", "keys")
+            near = np.flatnonzero(
+                (same.sum(axis=1) >= matches) & (labels != label) & (both.argmax(axis=1) == pos)
+                & (100 * np.minimum(sizes, len(own)) >= percent * np.maximum(sizes, len(own))))
+            if not len(near):
+                continue
+            theirs = np.concatenate([others[k] for k in near])
+            hit = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+            common = np.add.reduceat(hit, np.cumsum(sizes[near]) - sizes[near], dtype=np.int64)
+            linked = near[100 * common >= percent * (len(own) + sizes[near] - common)]
+            _, first = np.unique(labels[linked], return_index=True)
+            links += [(max(node, x), min(node, x)) for x in nodes[linked[first]]]
+        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+
+    return (left.union(right).select("key", "pos", "node", "prefix", "label", "left", "i", "j", "keys",
+                                     "shingles")
             .groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct())
 
 
@@ -224,8 +240,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     full = full_sets(docs, sets, wanted, words)
     links = written(confirm(pairs, full, percent), "links")
     found = components(links)
-    rest = across_classes(lists, sets, found, long_lists, matches, block)
-    more = written(confirm(rest.join(pairs, ["a", "b"], "left_anti"), full, percent), "links")
+    more = written(across_classes(lists, sets, found, long_lists, full, matches, percent, block), "links")
     if not more.isEmpty():
         found = components(links.union(more))
     answer = F.coalesce("component", "node")
