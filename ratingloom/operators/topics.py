@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ratingloom.functions import text as tx
-from ratingloom.operators.spread import lookup_join, spread_join
+from ratingloom.operators.spread import spread_join
+from ratingloom.session import scratch_folder
 
 SEGMENT = ["business_id", "year", "month"]
 # Topics, words shown per topic, passes over the texts, seed; the way a topic string
@@ -39,11 +39,11 @@ def bag_of_words(tokens: DataFrame, key: str) -> DataFrame:
 
 def _top_terms(weights: DataFrame, keys: list[str], terms: int) -> DataFrame:
     """The heaviest terms of each group with their share of the group's whole weight."""
-    totals = weights.groupBy(*keys).agg(F.sum("w").alias("_all"))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("w"), "term"))
-    best = weights.withColumn("rank", rank).where(F.col("rank") <= terms)
-    share = F.round(F.col("w") / F.col("_all"), 3)
-    return best.join(totals, keys).select(*keys, "rank", "term", "w", share.alias("weight"))
+    group = Window.partitionBy(*keys)
+    rank = F.row_number().over(group.orderBy(F.desc("w"), "term"))
+    whole = F.sum(F.col("w").cast("decimal(30,6)")).over(group).cast("double")
+    return (weights.withColumn("rank", rank).withColumn("_all", whole).where(F.col("rank") <= terms)
+            .select(*keys, "rank", "term", "w", F.round(F.col("w") / F.col("_all"), 3).alias("weight")))
 
 
 def segment_top_terms(tokens: DataFrame, segment: list[str] = SEGMENT, terms: int = TERMS) -> DataFrame:
@@ -70,47 +70,56 @@ def segment_topics(tokens: DataFrame, segment: list[str] = SEGMENT, terms: int =
             .select(*segment, F.array("topic").alias("topics")))
 
 
+def _fractions(parts: list[Column]) -> list[Column]:
+    """Parts of their sum, as decimals: sums of them do not depend on the order of rows."""
+    whole = reduce(lambda x, y: x + y, parts)
+    return [(p / whole).cast("decimal(12,9)") for p in parts]
+
+
+def start_value(seed: int, topic: int, columns: list[str]) -> Column:
+    """A number from 1 to 2 drawn by a hash of seed, topic and columns."""
+    text = F.concat_ws("|", F.lit(str(seed)), F.lit(str(topic)), *[F.col(c).cast("string") for c in columns])
+    return 1.0 + F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("double") / 65536.0
+
+
 def lda_topics(reviews: DataFrame, key: str, text: str, stop_words: list[str],
                segment: list[str] = SEGMENT, k: int = TOPICS, terms: int = TERMS,
-               passes: int = PASSES, vocabulary: int = 1 << 18, seed: int = SEED) -> DataFrame:
-    """``k`` topics per segment, each with its ``terms`` heaviest terms.
-
-    One model is fitted to all flagged reviews, on the ``vocabulary`` most used terms (the size
-    of the model, k weights for each). Each segment's own topics follow from it: every token is
-    divided among the topics by (topic share of its review) x (term weight in the topic), and the
-    parts are summed per segment, topic and term.
+               passes: int = PASSES, seed: int = SEED) -> DataFrame:
+    """``k`` topics per segment, each with its ``terms`` heaviest terms and their share of the topic.
+
+    Every segment has a model of its own over all its terms, but all are fitted at once, as grouped sums
+    over (segment, review, term). A review's term is divided among the topics by (weight of the topic
+    in the review) x (weight of the term in the topic), both smoothed by 1/k; each pass sums the parts
+    anew. Passes are written to the shared folder. A segment, review or term of any frequency is a
+    sum of partial sums; the joins back are left to the planner's skew handling.
     """
-    terms_of = F.coalesce(tx.topic_tokens(text, stop_words), F.array().cast("array<string>"))
-    docs = reviews.select(key, *segment, terms_of.alias("terms")).persist()
-    if docs.where(F.size("terms") > 0).isEmpty():
-        docs.unpersist()
-        return reviews.sparkSession.createDataFrame(
-            [], T.StructType([docs.schema[c] for c in segment]).add("topic", "integer").add("rank", "integer")
-            .add("term", "string").add("weight", "double"))
-    counter = CountVectorizer(inputCol="terms", outputCol="bag", vocabSize=vocabulary).fit(docs)
-    bags = counter.transform(docs).persist()
-    model = LDA(k=k, maxIter=passes, seed=seed, featuresCol="bag", subsamplingRate=1.0).fit(bags)
-    bags.unpersist()
-    docs.unpersist()
-    matrix = model.topicsMatrix().toArray()
-    matrix = matrix / matrix.sum(axis=0)
-    betas = reviews.sparkSession.createDataFrame(
-        [(term, [float(x) for x in row]) for term, row in zip(counter.vocabulary, matrix)],
-        "term string, beta array<double>")
-
-    mixed = model.transform(bags).select(
-        *segment, vector_to_array("topicDistribution").alias("theta"), F.explode_outer("terms").alias("term")
-    ).where("term is not null")
-    parts = lookup_join(mixed, betas, ["term"], small=True)  # at most `vocabulary` rows
-    joint = parts.select(*segment, "term", F.zip_with("theta", "beta", lambda t, b: t * b).alias("p"))
-    whole = F.aggregate("p", F.lit(0.0), lambda total, x: total + x)
-    sums = (joint.withColumn("_whole", whole)
-            .groupBy(*segment, "term")
-            .agg(*[F.sum(F.try_divide(F.col("p")[i], F.col("_whole"))).alias(f"t{i}") for i in range(k)]))
-    names = [f"t{i}" for i in range(k)]
-    weights = (sums.unpivot([*segment, "term"], names, "topic", "w")
+    spark, split = reviews.sparkSession, [f"r{t}" for t in range(k)]
+    bags = (topic_token_table(reviews, [*segment, key], text, stop_words)
+            .groupBy(*segment, key, "term").agg(F.count("*").alias("n")))
+    starts = [start_value(seed, t, [*segment, "term"]) for t in range(k)]
+    state = bags.select("*", *[r.alias(c) for r, c in zip(_fractions(starts), split)])
+
+    def sums(df: DataFrame, keys: list[str], names: str) -> DataFrame:
+        return df.groupBy(*keys).agg(*[F.sum(F.col("n") * F.col(c)).cast("double").alias(f"{names}{t}")
+                                       for t, c in enumerate(split)])
+
+    for _ in range(passes):
+        path = scratch_folder(spark, "topics")
+        state.write.parquet(path)
+        state = spark.read.parquet(path)
+        weights = sums(state, [*segment, "term"], "b")
+        whole = state.groupBy(*segment).agg(
+            F.count_distinct("term").alias("words"),
+            *[F.sum(F.col("n") * F.col(c)).cast("double").alias(f"a{t}") for t, c in enumerate(split)])
+        joined = (state.join(sums(state, [*segment, key], "d"), [*segment, key])
+                  .join(weights.join(whole, segment), [*segment, "term"]))
+        parts = [(F.col(f"d{t}") + 1.0 / k) * (F.col(f"b{t}") + 1.0 / k)
+                 / (F.col(f"a{t}") + F.col("words") / float(k)) for t in range(k)]
+        state = joined.select(*segment, key, "term", "n", *[r.alias(c) for r, c in zip(_fractions(parts), split)])
+    weights = (sums(state, [*segment, "term"], "t").unpivot([*segment, "term"], [f"t{t}" for t in range(k)], "topic", "w")
                .withColumn("topic", F.substring("topic", 2, 9).cast("int")))
-    return _top_terms(weights, [*segment, "topic"], terms).drop("w")
+    # Weights below the decimals that a pass keeps are none.
+    return _top_terms(weights.where("w > 0").withColumn("w", F.round("w", 6)), [*segment, "topic"], terms).drop("w")
 
 
 def lda_segment_topics(lda: DataFrame, segment: list[str] = SEGMENT) -> DataFrame:

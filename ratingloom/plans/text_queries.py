@@ -139,7 +139,8 @@ def lda_topics(spark, d):
 
 
 def lda_report(spark, d):
-    return topics.spike_report(_flagged(spark, d), topics.lda_segment_topics(lda_topics(spark, d)))
+    report = topics.spike_report(_flagged(spark, d), topics.lda_segment_topics(lda_topics(spark, d)))
+    return report.withColumn("topics", F.array_join("topics", " ; "))
 
 
 def topic_word_merge(spark, d):
@@ -174,6 +175,45 @@ tt AS (SELECT *, CAST(sum(n) OVER (PARTITION BY business_id, year, month) AS DOU
 tops AS (SELECT business_id, year, month, rank, term, n, {b.rounded('n / a', 3)} AS weight
   FROM tt WHERE rank <= 5)"""
 
+LDA_STOP = "(" + ", ".join(f"'{w.replace(chr(39), chr(39) * 2)}'" for w in [*b.STOP, *english_stop_words()]) + ")"
+
+
+def _lda_passes() -> str:
+    """The passes written out, one table each."""
+    ks, key = range(topics.TOPICS), "business_id, year, month"
+
+    def parts(p: list[str]) -> str:
+        whole = " + ".join(f"({x})" for x in p)
+        return ", ".join(f"CAST(({x}) / ({whole}) AS DECIMAL(12, 9)) AS r{t}" for t, x in zip(ks, p))
+
+    def sums(names: str) -> str:
+        return ", ".join(f"CAST(sum(n * r{t}) AS DOUBLE) AS {names}{t}" for t in ks)
+
+    starts = [f"(1e0 + CAST(CAST('0x' || substr(md5('{topics.SEED}|{t}|' || business_id || '|' || year || '|' || month "
+              f"|| '|' || term), 1, 4) AS INTEGER) AS DOUBLE) / 65536e0)" for t in ks]
+    third = repr(1.0 / topics.TOPICS) + "e0"
+    steps = [f"""
+bags AS (SELECT {key}, doc_id, term, count(*) AS n FROM terms GROUP BY ALL),
+s0 AS MATERIALIZED (SELECT *, {parts(starts)} FROM bags)"""]
+    for i in range(topics.PASSES):
+        new = [f"(d{t} + {third}) * (b{t} + {third}) / (a{t} + words / {float(topics.TOPICS)!r}e0)" for t in ks]
+        steps.append(f"""
+s{i + 1} AS MATERIALIZED (SELECT {key}, doc_id, term, n, {parts(new)} FROM s{i}
+  JOIN (SELECT {key}, doc_id, {sums("d")} FROM s{i} GROUP BY ALL) d USING ({key}, doc_id)
+  JOIN (SELECT {key}, term, {sums("b")} FROM s{i} GROUP BY ALL) b USING ({key}, term)
+  JOIN (SELECT {key}, count(DISTINCT term) AS words, {sums("a")} FROM s{i} GROUP BY ALL) a USING ({key}))""")
+    last = f"s{topics.PASSES}"
+    listed = " UNION ALL ".join(f"SELECT {key}, {t} AS topic, term, sum(n * r{t}) AS w FROM {last} GROUP BY ALL" for t in ks)
+    steps.append(f"""
+lw AS (SELECT {key}, topic, term, round(CAST(w AS DOUBLE), 6) AS w FROM ({listed}) WHERE w > 0),
+lt AS (SELECT *, CAST(sum(CAST(w AS DECIMAL(30, 6))) OVER (PARTITION BY {key}, topic) AS DOUBLE) AS a,
+    CAST(row_number() OVER (PARTITION BY {key}, topic ORDER BY w DESC, term) AS INTEGER) AS rank FROM lw),
+lda AS (SELECT {key}, topic, rank, term, {b.rounded('w / a', 3)} AS weight FROM lt WHERE rank <= {topics.TERMS})""")
+    return ",".join(steps)
+
+
+LDA_VIEWS = [*TEXT_FLAGS, SPIKED, _terms("spiked").replace(b.STOP_SQL, LDA_STOP), _lda_passes()]
+
 QUERIES = {
     "tokens": (tokens, b.with_views([b.TEXTS], r"""
 SELECT doc_id, word, count(*) AS n, CAST(max(pos) AS INTEGER) AS last_pos FROM (
@@ -236,8 +276,13 @@ SELECT flagged.*, coalesce(topics, '') AS topics FROM flagged LEFT JOIN (
   SELECT business_id, year, month, string_agg(CAST(CAST(weight AS DECIMAL(18, 3)) AS VARCHAR)
     || '*"' || term || '"', ' + ' ORDER BY rank) AS topics FROM tops GROUP BY ALL) t
   USING (business_id, year, month)""")),
-    "lda_topics": (lda_topics, None),
-    "lda_report": (lda_report, None),
+    "lda_topics": (lda_topics, b.with_views(LDA_VIEWS, "SELECT * FROM lda")),
+    "lda_report": (lda_report, b.with_views(LDA_VIEWS, """
+SELECT flagged.*, coalesce(topics, '') AS topics FROM flagged LEFT JOIN (
+  SELECT business_id, year, month, string_agg(s, ' ; ' ORDER BY topic) AS topics FROM (
+    SELECT business_id, year, month, topic, string_agg(CAST(CAST(weight AS DECIMAL(18, 3)) AS VARCHAR)
+      || '*"' || term || '"', ' + ' ORDER BY rank) AS s FROM lda GROUP BY ALL) GROUP BY ALL) t
+  USING (business_id, year, month)""")),
     "topic_word_merge": (topic_word_merge, """
 WITH w AS (SELECT p_brand AS business_id, lower(split_part(p_name, ' ', 1)) AS word,
     CAST('0.' || lpad(CAST(p_size AS VARCHAR), 3, '0') AS DOUBLE) AS x FROM part
