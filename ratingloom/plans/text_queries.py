@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ratingloom.functions.wordlists import english_stop_words
 from ratingloom.operators import sentiment, topics, trends, words
 from ratingloom.plans import bindings as b
 
@@ -134,8 +133,7 @@ def spike_report(spark, d):
 
 
 def lda_topics(spark, d):
-    return topics.lda_topics(_spike_reviews(spark, d), "doc_id", "review_text",
-                             b.STOP + english_stop_words())
+    return topics.lda_topics(_spike_reviews(spark, d), "doc_id", "review_text", b.STOP)
 
 
 def lda_report(spark, d):
@@ -175,9 +173,6 @@ tt AS (SELECT *, CAST(sum(n) OVER (PARTITION BY business_id, year, month) AS DOU
 tops AS (SELECT business_id, year, month, rank, term, n, {b.rounded('n / a', 3)} AS weight
   FROM tt WHERE rank <= 5)"""
 
-LDA_STOP = "(" + ", ".join(f"'{w.replace(chr(39), chr(39) * 2)}'" for w in [*b.STOP, *english_stop_words()]) + ")"
-
-
 def _lda_passes() -> str:
     """The passes written out, one table each."""
     ks, key = range(topics.TOPICS), "business_id, year, month"
@@ -212,7 +207,7 @@ lda AS (SELECT {key}, topic, rank, term, {b.rounded('w / a', 3)} AS weight FROM
     return ",".join(steps)
 
 
-LDA_VIEWS = [*TEXT_FLAGS, SPIKED, _terms("spiked").replace(b.STOP_SQL, LDA_STOP), _lda_passes()]
+LDA_VIEWS = [*TEXT_FLAGS, SPIKED, _terms("spiked"), _lda_passes()]
 
 QUERIES = {
     "tokens": (tokens, b.with_views([b.TEXTS], r"""
