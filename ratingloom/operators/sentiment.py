@@ -121,8 +121,10 @@ def rule_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame,
 
     All look-ups happen next to the words, in one stage; only one row per text is shuffled.
     """
-    small = is_small(lexicon, LISTED_WORDS)
-    listed = [r.word for r in lexicon.select("word").distinct().collect()] if small else None
+    small = is_small(lexicon)
+    # A short list also goes into the search for places, which then yields fewer rows to look up.
+    few = lexicon.select("word").distinct().limit(LISTED_WORDS + 1).collect() if small else None
+    listed = [r.word for r in few] if small and len(few) <= LISTED_WORDS else None
     rows = _in_context(df, key, text, carry, listed).withColumn("word", F.lower("w"))
     rows = lookup_join(rows, lexicon, ["word"], "left", small)
     boosters = wl.INTENSIFIERS + wl.DAMPENERS

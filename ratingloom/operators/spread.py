@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-SALTS = 64
 HOT_SHARE = 1 / 256
-BROADCAST_ROWS = 200_000
+# A lookup is broadcast if its rows, as text with some bytes per field, stay below this.
+BROADCAST_BYTES = 32 << 20
+FIELD_BYTES = 16
 
 
 def _key_hash(df: DataFrame, keys: list[str], types: dict[str, str]) -> Column:
     return F.xxhash64(*[df[k].cast(types[k]) for k in keys])
 
 
-def hot_key_hashes(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys that hold more than ``share`` of the rows: at most 1/share of them.
+def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> tuple[dict[int, int], int]:
+    """Hash and count of the keys that hold more than ``share`` of the rows, at most 1/share of them, and
+    the number of rows.
 
     One pass over the key columns with a mergeable sketch; no shuffle of the rows. The answer only
     decides how rows are spread, so the sketch's error never touches a result.
@@ -25,44 +29,56 @@ def hot_key_hashes(df: DataFrame, keys: list[str], share: float = HOT_SHARE) ->
              .agg(F.expr(f"approx_top_k(h, {limit}, {limit * 16})").alias("top"),
                   F.count("*").alias("rows"))
              .first())
-    return [item["item"] for item in found["top"] or [] if item["count"] > share * found["rows"]]
+    return {i["item"]: i["count"] for i in found["top"] or [] if i["count"] > share * found["rows"]}, found["rows"]
+
+
+def is_small(lookup: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the lookup's size, counted over its rows, stays below ``max_bytes``. Reads no more
+    rows than could fit."""
+    most = max_bytes // FIELD_BYTES // max(1, len(lookup.columns)) + 1
+    sizes = [F.coalesce(F.octet_length(F.to_json(F.struct(c)) if "<" in t else F.col(c).cast("string")), F.lit(0))
+             + FIELD_BYTES for c, t in lookup.dtypes]
+    size = reduce(lambda a, b: a + b, sizes) if sizes else F.lit(0)
+    return (lookup.limit(most).select(size.cast("long").alias("n")).agg(F.sum("n")).first()[0] or 0) < max_bytes
 
 
 def spread_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner",
-                salts: int = SALTS, share: float = HOT_SHARE) -> DataFrame:
+                share: float = HOT_SHARE, row_id: str | None = None,
+                max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Equi-join of many ``facts`` with a ``lookup`` that holds few rows per key.
 
-    The rows of a hot key are dealt over ``salts`` sub-keys and the few lookup rows of that key are
-    repeated for each of them, at most (1/share)*salts repeats in all. Other keys are untouched.
-    ``how`` must keep the fact side: inner, left, left_semi or left_anti.
+    A lookup of checked small size is broadcast. Otherwise a key that holds more than ``share`` of the
+    facts is dealt over as many sub-keys as bring each below that share, and the few lookup rows of that
+    key are repeated for each: at most 2/share repeats of a row in all. Other keys are untouched. Rows are
+    dealt by a hash of ``row_id``, or of all columns, which is the same in a repeated task; facts with
+    many equal rows need a ``row_id`` to be dealt evenly. ``how`` must keep the fact side: inner, left,
+    left_semi or left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how} join")
-    hot = hot_key_hashes(facts, keys, share)
+    if is_small(lookup, max_bytes):
+        return facts.join(F.broadcast(lookup), keys, how)
+    hot, rows = hot_keys(facts, keys, share)
     if not hot:
         return facts.join(lookup, keys, how)
     types = dict(facts.dtypes)
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    parts = F.create_map(*[F.lit(x) for h, n in hot.items() for x in (h, int(n / (share * rows)) + 1)])
+
+    def dealt(df: DataFrame) -> Column:
+        return F.coalesce(parts[_key_hash(df, keys, types)], F.lit(1))
+
+    by = [row_id] if row_id else [c for c, t in facts.dtypes if not t.startswith("map")]
     salted_facts = facts.withColumn(
-        "_salt",
-        F.when(_key_hash(facts, keys, types).isin(hot),
-               F.pmod(F.xxhash64(*[facts[c] for c, t in facts.dtypes if not t.startswith("map")]),
-                      F.lit(salts)).cast("int"))
-        .otherwise(F.lit(0)))
+        "_salt", F.pmod(F.xxhash64(*[facts[c] for c in by]), dealt(facts)).cast("int"))
     salted_lookup = lookup.withColumn(
-        "_salt",
-        F.explode(F.when(_key_hash(lookup, keys, types).isin(hot), every)
-                  .otherwise(F.array(F.lit(0)))))
+        "_salt", F.explode(F.sequence(F.lit(0), dealt(lookup) - 1)))
     return salted_facts.join(salted_lookup, [*keys, "_salt"], how).drop("_salt")
 
 
-def is_small(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    return lookup.limit(max_rows + 1).count() <= max_rows
-
-
 def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner",
                 small: bool | None = None) -> DataFrame:
-    """Join with a word list, lexicon or code table: broadcast if ``is_small``, else spread."""
-    if is_small(lookup) if small is None else small:
+    """Join with a word list, lexicon or code table. ``small`` says that its size is known to be
+    bounded; else it is checked."""
+    if small:
         return facts.join(F.broadcast(lookup), keys, how)
     return spread_join(facts, lookup, keys, how)

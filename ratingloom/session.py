@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -27,13 +29,15 @@ def build_session(master: str | None = None, **extra: str) -> SparkSession:
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
+    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach and whose clearing is
+    the cluster's affair, as for checkpoints.
 
-    Only a local session without that setting gets a folder of this machine.
+    A session on one machine without that setting gets a folder there, removed when Python ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="ratingloom-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
