@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(spec: str) -> T.StructType:
+def struct(spec: str) -> T.StructType:
     kinds = {"s": T.StringType(), "d": T.DoubleType(), "i": T.IntegerType(), "l": T.LongType()}
     fields = (item.split(":") for item in spec.split())
     return T.StructType([T.StructField(name, kinds[kind], True) for name, kind in fields])
@@ -20,23 +20,23 @@ BUSINESS_POSITIONS = {
 REVIEW_FIELDS = 9
 REVIEW_POSITIONS = {"review_id": 0, "business_id": 2, "stars": 3, "review_text": 7, "datetime": 8}
 
-BUSINESS = _struct(
+BUSINESS = struct(
     "business_id:s name:s address:s city:s state:s postal:s lat:d lon:d "
     "review_count:i categories:s opening_hours:s"
 )
-REVIEW = _struct("review_id:s business_id:s stars:d review_text:s datetime:s")
+REVIEW = struct("review_id:s business_id:s stars:d review_text:s datetime:s")
 PLACE = "business_id name address city state postal lat lon categories opening_hours".split()
-RAW = _struct(
+RAW = struct(
     "business_id:s name:s address:s city:s state:s postal:s lat:d lon:d "
     "categories:s opening_hours:s stars:d review_text:s datetime:s"
 )
 STARS = [f"star{i}" for i in range(6)]
-AGGREGATED = _struct(
+AGGREGATED = struct(
     "business_id:s name:s address:s city:s state:s postal:s lat:d lon:d "
     "categories:s opening_hours:s " + " ".join(f"{c}:i" for c in STARS) + " total:i"
 )
-KPIS = _struct("metric:s value:s")
-WORD_COUNTS = _struct("word:s count:l")
+KPIS = struct("metric:s value:s")
+WORD_COUNTS = struct("word:s count:l")
 
 # A GeoJSON feature. The nesting of `coordinates` depends on `type`, so it is read as text first.
 FEATURE = T.StructType([

@@ -62,3 +62,25 @@ def test_run_all(spark, tmp_path):
     jobs.sample_text(spark, str(tmp_path / "review.tsv"), str(out / "sample"), 5)
     lines = sorted((tmp_path / "review.tsv").read_text().splitlines())
     assert sorted(r.value for r in spark.read.text(str(out / "sample")).collect()) == lines[:5]
+
+
+RAW = ("business_id string, name string, address string, city string, state string, postal string, stars double, "
+       "review_text string, datetime string, row_id long")
+
+
+def test_two_addresses_make_one_month(spark, tmp_path):
+    rows = [("b", "N", address, "C", "S", "1", stars, "fine food", f"2020-0{month}-05 00:00:00", i)
+            for i, (address, month, stars) in enumerate([("A", 1, 5.0), ("B", 1, 1.0), ("A", 2, 3.0)])]
+    raw = jobs.with_date_parts(spark.createDataFrame(rows, RAW))
+    store = jobs.Store(spark, str(tmp_path))
+    jobs.run_trends(store, raw, [], model=False)
+    monthly = spark.read.json(store.path("published/business_monthly_trends"))
+    assert sorted((r["month"], r["monthly_avg_rating"], r["review_volume"]) for r in monthly.collect()) == [
+        (1, 3.0, 2), (2, 3.0, 1)]
+    assert not (tmp_path / "published" / "spike_dip_topic_modeling").exists()  # no month is flagged
+
+
+def test_nothing_is_written_without_usable_reviews(spark, tmp_path):
+    raw = jobs.with_date_parts(spark.createDataFrame([(None,) * 10], RAW))
+    jobs.run_trends(jobs.Store(spark, str(tmp_path)), raw, [])
+    assert not list(tmp_path.iterdir())
