@@ -38,6 +38,7 @@ TOKEN = re.compile(r"[\w+/.\-]+|\S")
 BEGIN, INSIDE, OUTSIDE = range(3)
 BITS = 13
 MAX_DOCUMENTS = 1000  # with a base span; as many without
+MAX_CHARS = 100_000   # longest text to train on, as the sample goes to the driver
 WINDOW = 24           # tokens on either side of a training span
 MEMO = 400_000
 BLOCK = 1 << 16
@@ -319,8 +320,10 @@ def train(data: list[tuple[np.ndarray, np.ndarray]], known: frozenset, rounds: i
 
 def training_texts(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> list[str]:
     """The texts of at most ``max_documents`` documents that may hold a base span and as many that do
-    not, the first by a hash of the id. The ids are found first, so that no text is sorted."""
-    rows = docs.where("text is not null and doc_id is not null").select("doc_id", "text")
+    not, the first by a hash of the id, none longer than ``MAX_CHARS``. The ids are found first, so that
+    no text is sorted."""
+    rows = (docs.where("text is not null and doc_id is not null").where(F.length("text") <= MAX_CHARS)
+            .select("doc_id", "text"))
     flagged = rows.select("doc_id", F.col("text").rlike(HINT).alias("hint"))
     order = F.xxhash64(F.lit(5), "doc_id")
     chosen = [r["doc_id"] for hint in (True, False)
