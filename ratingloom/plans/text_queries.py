@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ratingloom.functions import wordlists as wl
 from ratingloom.operators import sentiment, topics, trends, words
 from ratingloom.plans import bindings as b
 
@@ -173,6 +174,73 @@ tt AS (SELECT *, CAST(sum(n) OVER (PARTITION BY business_id, year, month) AS DOU
 tops AS (SELECT business_id, year, month, rank, term, n, {b.rounded('n / a', 3)} AS weight
   FROM tt WHERE rank <= 5)"""
 
+def _sql_list(words: list[str]) -> str:
+    return "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + ")"
+
+
+def _rules() -> str:
+    """The sentiment rules over words with their positions, one step after another."""
+    marks = "|".join("".join("\\" + ch for ch in mark) for mark in sorted(wl.PUNCTUATION, key=len, reverse=True))
+    marks, plain = marks.replace("'", "''"), "([^[:punct:]]{2,})"
+
+    def bare(word: str) -> str:
+        return f"regexp_replace({word}, '^(?:(?:{marks}){plain}|{plain}(?:{marks}))$', '\\1\\2')"
+
+    def shouted(word: str) -> str:
+        return f"(upper({word}) = {word} AND lower({word}) <> {word})"
+
+    def negates(word: str) -> str:
+        return f"({word} IN {_sql_list(wl.NEGATIONS)} OR contains({word}, 'n''t'))"
+
+    near = ", ".join(f"coalesce({f'lag(w, {n})' if n > 0 else f'lead(w, {-n})'} OVER o, '') AS {c}"
+                     for c, n in [("p1", 1), ("p2", 2), ("p3", 3), ("n1", -1), ("n2", -2)])
+    known = ", ".join(f"lower(p{n}) IN (SELECT word FROM lex) AS k{n}, lower(p{n}) AS l{n}" for n in (1, 2, 3))
+    steps = [rf"""
+rw AS (SELECT doc_id, review_text, list_filter(string_split_regex(review_text, '[\s\x{{0b}}\x{{85}}\p{{Z}}]+'),
+    lambda x: length(x) > 1) AS ws FROM texts),
+rp AS (SELECT doc_id, i - 1 AS i, ws[i] AS raw, {bare('ws[i]')} AS w FROM rw, unnest(range(1, len(ws) + 1)) AS u(i)),
+rd AS (SELECT doc_id, count(*) FILTER (WHERE {shouted('raw')}) BETWEEN 1 AND count(*) - 1 AS mixed,
+    min(i) FILTER (WHERE lower(w) = 'but') AS but FROM rp GROUP BY doc_id),
+rc AS (SELECT *, {near} FROM rp WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+r0 AS (SELECT rc.*, mixed, but, lower(w) AS lw, lower(n1) AS m1, lower(n2) AS m2, {known},
+    valence + CASE WHEN mixed AND {shouted('w')} THEN CASE WHEN valence > 0 THEN {wl.CAPITALS}e0 ELSE -{wl.CAPITALS}e0 END
+      ELSE 0e0 END AS v
+  FROM rc JOIN lex ON lower(w) = lex.word JOIN rd USING (doc_id)
+  WHERE NOT (lower(w) IN {_sql_list(wl.INTENSIFIERS + wl.DAMPENERS)} OR (lower(w) = 'kind' AND lower(n1) = 'of')))"""]
+    turns = {1: "", 2: "WHEN l2 = 'never' AND l1 IN ('so', 'this') THEN 1.5e0",
+             3: "WHEN (l3 = 'never' AND l2 IN ('so', 'this')) OR l1 IN ('so', 'this') THEN 1.25e0"}
+    for n, damping in (1, 1.0), (2, 0.95), (3, 0.9):
+        loud = f"CASE WHEN mixed AND {shouted(f'p{n}')} THEN {wl.CAPITALS}e0 ELSE 0e0 END"
+        push = (f"CASE WHEN l{n} IN {_sql_list(wl.INTENSIFIERS)} THEN {wl.BOOST}e0 "
+                f"WHEN l{n} IN {_sql_list(wl.DAMPENERS)} THEN -{wl.BOOST}e0 END")
+        steps.append(f"""
+r{n}a AS (SELECT * REPLACE (v + CASE WHEN i >= {n} AND NOT k{n} THEN coalesce(CASE WHEN v > 0 THEN {push} + {loud}
+    ELSE -({push}) - {loud} END, 0e0) * {damping}e0 ELSE 0e0 END AS v) FROM r{n - 1}),
+r{n} AS (SELECT * REPLACE (v * CASE WHEN i >= {n} AND NOT k{n} THEN CASE {turns[n]}
+    WHEN {negates(f'l{n}')} THEN {wl.NEGATION}e0 ELSE 1e0 END ELSE 1e0 END AS v) FROM r{n}a)""")
+
+    def idiom(*words: str) -> str:
+        cases = " ".join(f"WHEN '{phrase}' THEN {value}e0" for phrase, value in wl.IDIOMS.items())
+        return f"CASE concat_ws(' ', {', '.join(words)}) {cases} END"
+
+    found = ", ".join(idiom(*p) for p in [("lw", "m1", "m2"), ("lw", "m1"), ("l1", "lw"), ("l2", "l1", "lw"),
+                                          ("l2", "l1"), ("l3", "l2", "l1"), ("l3", "l2")])
+    pairs = _sql_list(wl.DAMPENING_PAIRS)
+    steps.append(f"""
+r4 AS (SELECT * REPLACE (CASE WHEN i >= 3 AND NOT k3 THEN coalesce({found}, v)
+    - CASE WHEN l3 || ' ' || l2 IN {pairs} OR l2 || ' ' || l1 IN {pairs} THEN {wl.BOOST}e0 ELSE 0e0 END ELSE v END AS v) FROM r3),
+r5 AS (SELECT doc_id, sum(v * CASE WHEN l1 = 'least' AND NOT k1 AND (i = 1 OR (i > 1 AND l2 NOT IN ('at', 'very')))
+    THEN {wl.NEGATION}e0 ELSE 1e0 END * CASE WHEN i < but THEN 0.5e0 WHEN i > but THEN 1.5e0 ELSE 1e0 END) AS s
+  FROM r4 GROUP BY doc_id),
+r6 AS (SELECT doc_id, coalesce(s, 0e0) AS s, length(review_text) - length(replace(review_text, '!', '')) AS e,
+    length(review_text) - length(replace(review_text, '?', '')) AS q FROM texts LEFT JOIN r5 USING (doc_id)),
+r7 AS (SELECT doc_id, s, least(e, 4) * {wl.EXCLAMATION}e0 + CASE WHEN q > 3 THEN {wl.QUESTIONS_MANY}e0
+    WHEN q > 1 THEN q * {wl.QUESTION}e0 ELSE 0e0 END AS x FROM r6),
+r8 AS (SELECT doc_id, CASE WHEN s > 0 THEN s + x WHEN s < 0 THEN s - x ELSE 0e0 END AS t FROM r7),
+ruled AS (SELECT doc_id, {b.rounded(f't / sqrt(t * t + {wl.NORM}e0)', 4)} AS compound FROM r8)""")
+    return ",".join(steps)
+
+
 def _lda_passes() -> str:
     """The passes written out, one table each."""
     ks, key = range(topics.TOPICS), "business_id, year, month"
@@ -228,7 +296,9 @@ GROUP BY word""")),
         f"SELECT doc_id, count(*) AS n FROM tok WHERE word NOT IN {b.STOP_SQL} GROUP BY doc_id")),
     "lexicon_sentiment": (lexicon_sentiment, b.with_views(LEXED,
         "SELECT doc_id, compound, sentiment FROM labels_")),
-    "rule_sentiment": (rule_sentiment, None),
+    "rule_sentiment": (rule_sentiment, b.with_views([b.TEXTS, b.LEX, _rules()], """
+SELECT doc_id, compound, CASE WHEN compound >= 0.05 THEN 'positive' WHEN compound <= -0.05 THEN 'negative'
+  ELSE 'neutral' END AS sentiment FROM ruled""")),
     "sentiment_label": (sentiment_label, """
 SELECT CASE WHEN (l_discount - 5e-2) * 2 >= 5e-2 THEN 'positive'
   WHEN (l_discount - 5e-2) * 2 <= -5e-2 THEN 'negative' ELSE 'neutral' END AS sentiment, count(*) AS n
