@@ -34,13 +34,14 @@ KINDS = ("assign", "access", "hex", "crf")
 HINT = (r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[a-z0-9+/_.=-]{6}"
         r"|AKIA[A-Z0-9]{16}|[0-9a-f]{24}")
 
-TOKEN = re.compile(r"[\w+/.\-]+|\S")
+# Runs of word characters and +/.- that do not end in a stop or hyphen, and single other characters.
+TOKEN = re.compile(r"[\w+/](?:[\w+/.\-]*[\w+/])?|\S")
 BEGIN, INSIDE, OUTSIDE = range(3)
 BITS = 13
 MAX_DOCUMENTS = 1000  # with a base span; as many without
 MAX_CHARS = 100_000   # longest text to train on, as the sample goes to the driver
 WINDOW = 24           # tokens on either side of a training span
-MEMO = 400_000
+MEMO = 1_000_000
 BLOCK = 1 << 16
 # Offsets of the neighbours whose words and shapes are features.
 AROUND = (-1, -2, -3, 1)
