@@ -330,7 +330,7 @@ def training_texts(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> list[
     chosen = [r["doc_id"] for hint in (True, False)
               for r in flagged.where(F.col("hint") == hint).select("doc_id").orderBy(order, "doc_id")
               .limit(max_documents).collect()]
-    few = docs.sparkSession.createDataFrame(pd.DataFrame({"doc_id": pd.Series(chosen, dtype="int64")}))
+    few = docs.sparkSession.createDataFrame([(i,) for i in chosen], "doc_id long")
     found = rows.join(F.broadcast(few.distinct()), "doc_id").orderBy("doc_id", "text").collect()
     return [r["text"] for r in found]
 
