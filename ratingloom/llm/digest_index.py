@@ -41,10 +41,11 @@ class DigestIndex:
         return self.spark.table(self.name)
 
     def append(self, digests: DataFrame) -> None:
-        """Adds the digests that the index lacks, each with its smallest doc_id."""
+        """Adds the digests that the index lacks, each with its smallest doc_id. Rows are dealt by bucket,
+        so that however many tasks there are, each bucket gets one file."""
         new = digests.groupBy("digest").agg(F.min("doc_id").alias("keep_id"))
         (new.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
-         .repartition(self.buckets, "digest")
+         .repartition(self.buckets, F.pmod(F.hash("digest"), F.lit(self.buckets)))
          .select("digest", "keep_id").write.insertInto(self.name))
         self.spark.catalog.refreshTable(self.name)
 
