@@ -74,16 +74,106 @@ def inverse_demand(share: Column, knots: tuple) -> Column:
     return answer
 
 
+def sliced_ends(rows: DataFrame) -> DataFrame:
+    """Adds ``end``, the running sum of size in a source by slice, order and row. Slices are summed
+    first, so that no task holds a source."""
+    by_source = Window.partitionBy("source").orderBy("slice")
+    starts = (rows.groupBy("source", "slice").agg(F.sum("size").alias("words"))
+              .withColumn("before", F.sum("words").over(by_source) - F.col("words"))
+              .select(F.col("source").alias("_source"), F.col("slice").alias("_slice"), "before"))
+    inside = (Window.partitionBy("source", "slice").orderBy("order", "row")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (rows.withColumn("within", F.sum("size").over(inside))
+            .join(starts, F.col("source").eqNullSafe(F.col("_source"))
+                  & (F.col("slice") == F.col("_slice")))
+            .withColumn("end", F.col("before") + F.col("within"))
+            .drop("_source", "_slice", "before", "within"))
+
+
+def filled(placed: DataFrame, slice_rows: int) -> DataFrame:
+    """_source, reached, steps, picks, over: how the remainder behind a source's first documents is filled.
+
+    The unread documents are gone through in their order, and each that still fits is read. A step
+    takes those that fit at its start in stretches of some ``slice_rows``: stretches that fit as a
+    whole are read (a step is kept as its gap and the slice where it stopped), the next one is gone
+    through row by row (``picks``). What it leaves fits few documents further on, so steps are few.
+    They end when no unread document fits. ``over`` is the row of the smallest unread document if
+    reading it too comes nearer to the target.
+    """
+    same = F.col("source").eqNullSafe(F.col("_source"))
+    steps = F.array().cast("array<struct<gap:double,slice:bigint>>")
+    state = written(placed.groupBy(F.col("source").alias("_source")).agg(
+        F.coalesce(F.max(F.when(F.col("fits"), F.col("end"))), F.lit(0)).alias("reached"),
+        F.first("left").alias("left")).select(
+            "_source", "reached", (F.col("left") - F.col("reached")).alias("gap"), steps.alias("steps"),
+            F.array().cast("array<bigint>").alias("picks")), "mix-gaps")
+
+    def unread() -> DataFrame:
+        return (placed.where(~F.col("fits") & (F.col("size") > 0)).join(state, same)
+                .where(~is_filler()).select("source", "slice", "order", "row", "size", "gap"))
+
+    by_source = Window.partitionBy("source")
+    while True:
+        fitting = unread().where("size <= gap")
+        stretches = (fitting.groupBy("source", "slice").agg(
+            F.count("*").alias("n"), F.sum("size").alias("words"), F.first("gap").alias("gap"))
+            .withColumn("stretch", F.floor((F.sum("n").over(by_source.orderBy("slice")) - F.col("n"))
+                                           / slice_rows))
+            .groupBy("source", "stretch").agg(
+                F.min("slice").alias("from"), F.max("slice").alias("to"), F.sum("words").alias("words"),
+                F.first("gap").alias("gap"))
+            .withColumn("end", F.sum("words").over(by_source.orderBy("stretch"))))
+        stops = F.col("end") > F.col("gap")
+        whole = written(stretches.groupBy(F.col("source").alias("_source")).agg(
+            F.coalesce(F.max(F.when(~stops, F.col("end"))), F.lit(0)).alias("more"),
+            F.min(F.when(stops, F.struct("from", "to"))).alias("stop")), "mix-step")
+        if whole.isEmpty():
+            break
+        start = F.struct((F.first("gap") - F.first("more")).alias("gap"),
+                         F.array().cast("array<bigint>").alias("picks"))
+        picked = (fitting.join(whole, same).where("slice BETWEEN stop.from AND stop.to")
+                  .groupBy("_source").agg(F.aggregate(
+                      F.array_sort(F.collect_list(F.struct("slice", "order", "row", "size"))), start,
+                      lambda got, k: F.when(k["size"] <= got["gap"], F.struct(
+                          (got["gap"] - k["size"]).alias("gap"),
+                          F.array_append(got["picks"], k["row"]).alias("picks"))).otherwise(got)).alias("last"))
+                  .withColumnRenamed("_source", "_of"))
+        step = F.struct("gap", F.coalesce("stop.from", F.lit((1 << 63) - 1)).alias("slice"))
+        state = written(
+            state.join(whole.withColumnRenamed("_source", "_at"),
+                       F.col("_source").eqNullSafe(F.col("_at")), "left")
+            .join(picked, F.col("_source").eqNullSafe(F.col("_of")), "left").select(
+                "_source", "reached",
+                F.coalesce("last.gap", F.col("gap") - F.coalesce("more", F.lit(0))).alias("gap"),
+                F.when(F.col("more").isNotNull(), F.array_append("steps", step))
+                .otherwise(F.col("steps")).alias("steps"),
+                F.concat("picks", F.coalesce("last.picks", F.array().cast("array<bigint>"))).alias("picks")),
+            "mix-gaps")
+    over = (unread().groupBy(F.col("source").alias("_of"))
+            .agg(F.min(F.struct("size", "row")).alias("over")))
+    return written(state.join(over, F.col("_source").eqNullSafe(F.col("_of")), "left").select(
+        "_source", "reached", "steps", "picks",
+        F.when(F.col("over.size") - F.col("gap") < F.col("gap"), F.col("over.row")).alias("over")),
+        "mix-filled")
+
+
+def is_filler() -> Column:
+    """Whether a document behind its source's first ones has been read by a step."""
+    return F.exists("steps", lambda s: (F.col("size") <= s["gap"]) & (F.col("slice") < s["slice"])) \
+        | F.array_contains("picks", F.col("row"))
+
+
 def plan(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS,
          schedules: tuple = SCHEDULES, seed: int = 11, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """doc_id, text_hash, size, source_size, target, passes, taken, positions per document.
 
     A source's documents stand in an order drawn by a hash of ``seed``, id and text. Every document
     is read once for each whole multiple of its source's size in the target. Of the remainder, those
-    that fit into it from the front of the order are read once more. What they leave over is filled,
-    from large to small, with up to three documents of each size class (sizes between two powers of
-    two) that still fit; or with the smallest document that exceeds it, if that comes nearer to the
-    target. So only whole documents are read, at most ``epochs`` times each.
+    that fit into it from the front of the order are read once more. What they leave over is filled from
+    all unread documents that fit into it, in the same order, again and again until none fits; then
+    with the smallest unread document, if exceeding the target by it comes nearer. So only whole
+    documents are read, at most ``epochs`` times each, and a source misses its target by at most half
+    of its smallest unread document.
 
     Null texts and texts without words have size 0 and are read like others. A null source is a
     source of its own. Rows with the same id and text are documents of their own; their answers may
@@ -92,78 +182,39 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS,
     sizes = written(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        row_hash().alias("text_hash")), "mix-sizes")
+        row_hash().alias("text_hash")).withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
     targets = written(source_targets(sizes, weights, epochs), "mix-targets")
     slices = max(1, -(-sizes.count() // slice_rows))
     order = F.xxhash64(F.lit(seed), "doc_id", "text_hash")
     keyed = sizes.withColumn("order", order).withColumn(
-        "slice", F.pmod(F.shiftrightunsigned("order", 16), F.lit(slices)))
-    by_source = Window.partitionBy("source").orderBy("slice")
-    starts = (keyed.groupBy("source", "slice").agg(F.sum("size").alias("words"))
-              .withColumn("before", F.sum("words").over(by_source) - F.col("words"))
-              .select(F.col("source").alias("_source"), F.col("slice").alias("_slice"), "before"))
-    inside = (Window.partitionBy("source", "slice").orderBy("order", "doc_id", "text_hash")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    lined = (keyed.withColumn("within", F.sum("size").over(inside))
-             .join(starts, F.col("source").eqNullSafe(F.col("_source"))
-                   & (F.col("slice") == F.col("_slice")))
-             .withColumn("end", F.col("before") + F.col("within"))
-             .drop("_source", "_slice", "before", "within"))
+        "slice", F.pmod(F.shiftrightunsigned("order", 16), F.lit(slices)).cast("long"))
     wanted = targets.select(
         F.col("source").alias("_source"), "source_size", "target", "rank",
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
         .otherwise(0).alias("whole"))
     placed = written(
-        lined.join(wanted, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+        sliced_ends(keyed)
+        .join(wanted, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
         .withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
         .withColumn("fits", F.col("end") <= F.col("left")), "mix-order")
-    # What the fitting documents leave over, and documents that fill it.
-    front = (placed.groupBy("source").agg(
-        F.max(F.when(F.col("fits"), F.col("end"))).alias("reached"), F.first("left").alias("left"))
-        .select(F.col("source").alias("_source"),
-                (F.col("left") - F.coalesce("reached", F.lit(0))).alias("gap")))
-    # By size class up to the gap three documents, and the smallest that exceeds it.
-    key = F.struct("size", "order", "doc_id", "text_hash")
-    by_order = F.struct("order", "doc_id", "text_hash", "size")
-    open_docs = (placed.where(~F.col("fits") & (F.col("size") > 0))
-                 .join(front, F.col("source").eqNullSafe(F.col("_source")))
-                 .withColumn("class", F.when(F.col("size") > F.col("gap"), -1)
-                             .otherwise(F.floor(F.log2("size")))))
-    some = [F.struct(*[F.col(f"{c}.{k}").alias(k) for k in ("size", "order", "doc_id", "text_hash")])
-            for c in ("largest", "early", "late")]
-    per_class = (open_docs.groupBy("source", "class")
-                 .agg(F.min(key).alias("smallest"), F.max(key).alias("largest"),
-                      F.min(by_order).alias("early"), F.max(by_order).alias("late"),
-                      F.first("gap").alias("gap"))
-                 .select("source", "gap", F.when(F.col("class") < 0, F.col("smallest")).alias("over"),
-                         F.when(F.col("class") >= 0, F.array(*some)).alias("under")))
-    start = F.struct(F.col("gap").alias("gap"), F.array().cast(dict(per_class.dtypes)["under"]).alias("taken"))
-    filled = F.aggregate(
-        F.reverse(F.array_sort(F.array_distinct(F.flatten("under")))), start,
-        lambda got, k: F.when(k["size"] <= got["gap"],
-                              F.struct((got["gap"] - k["size"]).alias("gap"),
-                                       F.array_append(got["taken"], k).alias("taken")))
-        .otherwise(got))
-    filler = (per_class.groupBy("source").agg(F.first("gap").alias("gap"), F.max("over").alias("over"),
-                                              F.collect_list("under").alias("under"))
-              .withColumn("fill", filled)
-              .select(F.col("source").alias("_source"),
-                      F.when(F.col("over.size") - F.col("gap") < F.col("fill.gap"), F.array("over"))
-                      .otherwise(F.col("fill.taken")).alias("_taken")))
-    chosen = F.coalesce(~F.col("fits") & F.exists("_taken", lambda k: (
-        (k["order"] == F.col("order")) & k["doc_id"].eqNullSafe(F.col("doc_id"))
-        & (k["text_hash"] == F.col("text_hash")))), F.lit(False))
+    extra = F.when(F.col("fits") | (F.col("size") == 0), False).otherwise(
+        is_filler() | F.col("row").eqNullSafe(F.col("over")))
+    turns = (placed.join(filled(placed, slice_rows), F.col("source").eqNullSafe(F.col("_source")))
+             .withColumn("extra", extra).drop("_source", "steps", "picks", "over"))
+    # Where the documents that fill the remainder end in it, behind the first ones.
+    behind = (sliced_ends(turns.where("extra").select("source", "slice", "order", "row", "size", "reached"))
+              .select(F.col("row").alias("_row"), (F.col("reached") + F.col("end")).alias("last")))
     passes = F.col("whole") + F.when(F.col("fits") | F.col("extra"), 1).otherwise(0)
     middles = F.transform(
         F.sequence(F.lit(0), F.col("passes").cast("int") - 1),
-        lambda k: F.least((k * F.col("source_size") + F.col("end") - F.col("size") / 2)
+        lambda k: F.least((k * F.col("source_size") - F.col("size") / 2
+                           + F.when(k == F.col("whole"), F.coalesce("last", "end")).otherwise(F.col("end")))
                           / F.col("target"), F.lit(1.0)))
     by_rank = F.col("rank") % len(schedules)
     positions = F.transform(middles, lambda share: F.coalesce(
         *[F.when(by_rank == i, inverse_demand(share, knots)) for i, knots in enumerate(schedules)]))
     none = F.array().cast("array<double>")
-    return (placed.join(filler, F.col("source").eqNullSafe(F.col("_source")), "left")
-            .withColumn("extra", chosen)
+    return (turns.join(behind, F.col("row") == F.col("_row"), "left")
             .withColumn("passes", F.least(passes, F.lit(epochs)).cast("long"))
             .select("doc_id", "text_hash", "size", "source_size", "target", "passes",
                     (F.col("passes") * F.col("size")).alias("taken"),

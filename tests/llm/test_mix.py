@@ -95,6 +95,23 @@ def test_mix_on_messy_rows(spark):
     assert curriculum.plan(none).count() == 0 and curriculum.readings(none, curriculum.plan(none)).count() == 0
 
 
+@pytest.mark.parametrize("share,long", [(0.3, 300_000), (0.6, 300_000), (0.9, 300_000), (0.6, 400)])
+def test_the_remainder_is_filled_from_all_unread_documents(spark, share, long):
+    """A source misses by at most half of its smallest unread document, wherever a long one stands."""
+    draw = random.Random(long)
+    sizes = [draw.randrange(50, 400) for _ in range(1000)] + [long]
+    docs = spark.createDataFrame(list(enumerate(sizes)), "doc_id long, n int").selectExpr(
+        "doc_id", "trim(repeat('w ', n)) AS text", "'a' AS source")
+    other = sum(sizes) + 2 * round(share * sum(sizes))  # so that with equal weights the remainder is the share
+    docs = docs.union(spark.createDataFrame([(-1, "v " * other, "b")], docs.schema))
+    rows = [r for r in curriculum.plan(docs, (1, 1), slice_rows=100).collect() if r["doc_id"] >= 0]
+    whole, target = min(r["passes"] for r in rows), rows[0]["target"]
+    smallest = min(r["size"] for r in rows if r["passes"] == whole)
+    assert abs(target - sum(r["taken"] for r in rows)) <= smallest / 2
+    # Readings follow each other without gaps: a document's last reading is no heap at the end.
+    assert sum(p >= 0.999 for r in rows for p in r["positions"]) <= 10
+
+
 def test_readings_stand_in_training_order(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     planned = curriculum.plan(docs)
