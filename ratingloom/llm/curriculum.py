@@ -165,7 +165,7 @@ def is_filler() -> Column:
 
 def plan(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS,
          schedules: tuple = SCHEDULES, seed: int = 11, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """doc_id, text_hash, size, source_size, target, passes, taken, positions per document.
+    """row (a number), doc_id, text_hash, size, source_size, target, passes, taken, positions per document.
 
     A source's documents stand in an order drawn by a hash of ``seed``, id and text. Every document
     is read once for each whole multiple of its source's size in the target. Of the remainder, those
@@ -216,7 +216,7 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS,
     none = F.array().cast("array<double>")
     return (turns.join(behind, F.col("row") == F.col("_row"), "left")
             .withColumn("passes", F.least(passes, F.lit(epochs)).cast("long"))
-            .select("doc_id", "text_hash", "size", "source_size", "target", "passes",
+            .select("row", "doc_id", "text_hash", "size", "source_size", "target", "passes",
                     (F.col("passes") * F.col("size")).alias("taken"),
                     F.when((F.col("passes") > 0) & (F.col("target") > 0), positions)
                     .when(F.col("passes") > 0,
@@ -225,11 +225,11 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS,
                     .otherwise(none).alias("positions")))
 
 
-def readings(docs: DataFrame, planned: DataFrame) -> DataFrame:
-    """The training order: every row of ``docs`` with all its columns, once per reading, range-sorted
-    by position. A table written from it has its files in training order."""
+def placed_readings(docs: DataFrame, planned: DataFrame) -> DataFrame:
+    """_row (a row of ``docs``), _position and _of (the planned row) per reading, range-sorted by
+    position. A table written from it has its files in training order."""
     turns = planned.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
-                           F.explode("positions").alias("_position"))
+                           F.col("row").alias("_of"), F.explode("positions").alias("_position"))
     rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_doc"),
                        row_hash().alias("_text"))
     if not planned.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
@@ -237,4 +237,18 @@ def readings(docs: DataFrame, planned: DataFrame) -> DataFrame:
     return (rows.join(turns, F.col("_doc").eqNullSafe(F.col("_id"))
                       & (F.col("_text") == F.col("_hash")))
             .repartitionByRange("_position", "_doc", "_text")
-            .sortWithinPartitions("_position", "_doc", "_text").select("_row.*"))
+            .sortWithinPartitions("_position", "_doc", "_text").select("_row", "_position", "_of"))
+
+
+def readings(docs: DataFrame, planned: DataFrame) -> DataFrame:
+    """The training order: every row of ``docs`` with all its columns, once per reading."""
+    return placed_readings(docs, planned).select("_row.*")
+
+
+def read_back(planned: DataFrame, read: DataFrame) -> DataFrame:
+    """``planned`` with positions, passes and taken from the readings ``read`` that were written."""
+    found = read.groupBy("_of").agg(F.array_sort(F.collect_list("_position")).alias("_found"))
+    positions = F.coalesce("_found", F.array().cast("array<double>"))
+    return (planned.join(found, F.col("row") == F.col("_of"), "left")
+            .withColumns({"positions": positions, "passes": F.size(positions).cast("long"),
+                          "taken": F.size(positions) * F.col("size")}).drop("_of", "_found"))

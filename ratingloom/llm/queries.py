@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratingloom.llm import (coordinate_join, curriculum, digest_index, piece_counts, secret_crf,
                             sum_of_squares, target_ratio, token_orc, url_filter, warc)
-from ratingloom.llm.shared import table
+from ratingloom.llm.shared import table, written
 from ratingloom.session import scratch_folder
 
 
@@ -29,8 +29,10 @@ def op3_target_ratio(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op4_curriculum(spark: SparkSession, d: str) -> DataFrame:
-    planned = curriculum.plan(table(spark, d, "documents"))
-    return planned.select("doc_id", "size", "source_size", "target", "taken", "positions")
+    docs = table(spark, d, "documents")
+    planned = written(curriculum.plan(docs), "mix-plan")
+    read = written(curriculum.placed_readings(docs, planned), "mix-readings", "zstd")
+    return curriculum.read_back(planned, read).select("doc_id", "size", "source_size", "target", "taken", "positions")
 
 
 def op5_secret_crf(spark: SparkSession, d: str) -> DataFrame:

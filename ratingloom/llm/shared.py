@@ -19,11 +19,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """The rows written as Parquet to the shared folder and read back: cuts the lineage, so a lost
     executor costs a re-read, and fixes values such as generated row ids."""
     path = scratch_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

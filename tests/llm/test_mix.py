@@ -125,6 +125,19 @@ def test_readings_stand_in_training_order(spark):
     assert not any(left.values())
 
 
+def test_mix_query_writes_its_readings(spark, monkeypatch):
+    """The query's rows come from readings that it wrote in training order."""
+    from ratingloom.llm import queries as registered
+
+    kept, write = {}, registered.written
+    monkeypatch.setattr(registered, "written", lambda df, label, *how:
+                        kept.setdefault(label, write(df, label, *how)))
+    rows = queries()["op4_curriculum"](spark, FOLDER).collect()
+    read = kept["mix-readings"].select("_position", "_row.doc_id", "_row.text").collect()
+    assert collections.Counter((r["doc_id"], r["_position"]) for r in read) == \
+        collections.Counter((r["doc_id"], p) for r in rows for p in r["positions"])
+
+
 def test_positions_invert_the_integrated_schedule(spark):
     """The share read by a position, by summing the schedule in small steps."""
     for knots in (*curriculum.SCHEDULES, ((0.0, 0.0), (0.3, 2.0), (1.0, 0.2))):
