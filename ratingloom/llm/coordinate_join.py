@@ -31,7 +31,6 @@ COORDINATES = 32
 MATCHES = 14
 SHORT = 32
 BLOCK = 512
-NO_ID = 1 << 62
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -83,22 +82,26 @@ def sketches(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
 
 def distinct_sets(sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members (doc_id, text_hash, n_shingles, node) and sets (node, n_shingles, keys, doc_id,
-    text_hash): one node per distinct set, named after its smallest doc_id, or by a number of its own
-    above ``NO_ID`` if no such row has an id."""
+    text_hash, least_id): one node per distinct set, numbered by the row that stands for it, as
+    texts that repeat a doc_id have sets of their own. ``least_id`` is the smallest doc_id of the set's
+    rows, null if none has one."""
     rows = written(sketched.withColumn("row", F.monotonically_increasing_id()), "sketches")
-    name = F.coalesce("doc_id", F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64("set_hash"), 2))
     full = rows.where("n_shingles > 0")
     lead = written(full.groupBy("set_hash").agg(
-        F.min(F.struct(name.alias("node"), F.col("row"))).alias("lead"), F.count("*").alias("copies"))
-        .select("set_hash", "lead.node", "lead.row", "copies"), "set-groups")
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("lead"),
+        F.count("*").alias("copies"))
+        .select("set_hash", F.col("lead.row").alias("node"), F.col("lead.doc_id").alias("least_id"),
+                "copies"), "set-groups")
     joined = join_counted(full.withColumnRenamed("row", "own"), lead, "set_hash", "copies",
                           full.count(), F.col("own"))
     members = written(joined.select(
         "doc_id", "text_hash", "n_shingles", F.col("_group.node").alias("node"),
-        F.when(F.col("own") == F.col("_group.row"), F.col("keys")).alias("keys")), "members")
+        F.when(F.col("own") == F.col("_group.node"), F.col("keys")).alias("keys"),
+        F.col("_group.least_id").alias("least_id")), "members")
     sets = members.where("keys is not null")
     alone = rows.where("n_shingles = 0").select(
-        "doc_id", "text_hash", "n_shingles", F.lit(None).cast("long").alias("node"))
+        "doc_id", "text_hash", "n_shingles", F.lit(None).cast("long").alias("node"),
+        F.col("doc_id").alias("least_id"))
     return members.drop("keys").union(alone), sets
 
 
@@ -243,9 +246,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     more = written(across_classes(lists, sets, found, long_lists, full, matches, percent, block), "links")
     if not more.isEmpty():
         found = components(links.union(more))
-    answer = F.coalesce("component", "node")
-    return (members.join(found, "node", "left")
-            .withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id"))
-                        .when(answer < NO_ID, answer))
+    # A class goes by the smallest doc_id of its sets; rows of sets without links by that of their own.
+    linked = found.union(found.select(F.col("component").alias("node"), "component").distinct())
+    classes = written(linked.join(sets.select("node", "least_id"), "node").groupBy("component").agg(
+        F.min("least_id").alias("smallest"), F.count("*").alias("n")), "classes")
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    named = (join_counted(linked, classes, "component", "n", total, F.col("node"))
+             .select("node", F.lit(True).alias("linked"), F.col("_group.smallest").alias("smallest")))
+    return (members.join(named, "node", "left")
+            .withColumn("component_id", F.when(F.col("linked"), F.col("smallest"))
+                        .otherwise(F.col("least_id")))
             .select("doc_id", "text_hash", "n_shingles", "component_id",
                     F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))

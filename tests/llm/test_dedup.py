@@ -111,6 +111,15 @@ def test_near_on_messy_rows(spark):
     assert coordinate_join.near_duplicates(messy.nothing(spark)).count() == 0
 
 
+def test_near_texts_that_share_an_id(spark):
+    """Each of several texts with one id finds its own near copy."""
+    texts = [messy.prose(20 + i, 100) for i in range(4)]
+    rows = [(15, t, "a") for t in texts] + [(20 + i, messy.changed(t, 50), "a") for i, t in enumerate(texts)]
+    found = coordinate_join.near_duplicates(messy.documents(spark, rows), words=2).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in found) == \
+        [(15, 15, True)] * 4 + [(20 + i, 15, False) for i in range(4)]
+
+
 def chain(n):
     """Texts that are like their neighbours, less and less like the first, and one long list."""
     words = messy.prose(9, 120).split(" ")
