@@ -40,7 +40,7 @@ BEGIN, INSIDE, OUTSIDE = range(3)
 BITS = 13
 MAX_DOCUMENTS = 1000  # with a base span; as many without
 MAX_CHARS = 100_000   # longest text to train on, as the sample goes to the driver
-WINDOW = 24           # tokens on either side of a training span
+WINDOW = 24           # tokens on either side of a training span, and of a drawn stretch less one
 MEMO = 1_000_000
 BLOCK = 1 << 16
 # Offsets of the neighbours whose words and shapes are features.
@@ -229,23 +229,26 @@ def silver_tags(text: str, spans: list[tuple[int, int]]) -> np.ndarray:
     return tags
 
 
-def examples(texts: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]], frozenset]:
-    """(features, tags) of stretches of tokens around the tagged ones, or of the first tokens of a text
-    without any, and the known words. ``features`` is tokens x features, -1 where there is none."""
+def examples(texts: list[str], window: int = WINDOW) -> tuple[list[tuple[np.ndarray, np.ndarray]], frozenset]:
+    """(features, tags) of stretches of tokens, and the known words. Stretches are the tokens up to
+    ``window`` away from tagged ones and, in every text, ``window + 1`` at a place drawn by its hash, so
+    that all parts of texts count. ``features`` is tokens x features, -1 where there is none."""
     stretches, seen = [], Counter()
     for text in texts:
         spans = tokens_of(text)
         words, tags = [text[s:e] for s, e in spans], silver_tags(text, spans)
         marked = np.flatnonzero(tags != OUTSIDE)
         near = np.zeros(len(words), bool)
-        for i in marked if len(marked) else [0] if words else []:
-            near[max(0, i - WINDOW):i + WINDOW + 1] = True
+        for i in marked:
+            near[max(0, i - window):i + window + 1] = True
+        drawn = crc32(text.encode("utf-8", "surrogatepass")) % max(1, len(words) - window)
+        near[drawn:drawn + window + 1] = True
         for i in marked:
             seen.update({word_of(words[i + at]) for at in AROUND if 0 <= i + at < len(words)})
         edges = np.flatnonzero(np.diff(np.concatenate([[False], near, [False]])))
         for start, stop in edges.reshape(-1, 2):
-            for at in range(start, stop, 4 * WINDOW):
-                stretches.append((text, words, tags, at, min(stop, at + 4 * WINDOW)))
+            for at in range(start, stop, 4 * window):
+                stretches.append((text, words, tags, at, min(stop, at + 4 * window)))
     known = frozenset(word for word, n in seen.items() if n >= KNOWN)
     out = []
     for text, words, tags, start, end in stretches:
@@ -335,8 +338,8 @@ def training_texts(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> list[
     return [r["text"] for r in found]
 
 
-def fit(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> Field:
-    return train(*examples(training_texts(docs, max_documents)))
+def fit(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, window: int = WINDOW) -> Field:
+    return train(*examples(training_texts(docs, max_documents), window))
 
 
 def crf_spans(text: str, tagger: Tagger, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:

@@ -147,6 +147,15 @@ def test_field_finds_held_out_secrets(field):
     assert sum(len(secret_crf.crf_spans(text, tagger, [])) for text in plain) == 0
 
 
+def test_negative_examples_come_from_all_parts_of_texts():
+    texts = [" ".join(f"w{k}x{i}" for i in range(400)) for k in range(60)]
+    data, _ = secret_crf.examples(texts)
+    assert sum(len(tags) for _, tags in data) == 60 * (secret_crf.WINDOW + 1)
+    # Only the first tokens of a text have fewer neighbours: stretches now rarely hold one.
+    edges = sum((rows >= 0).sum(axis=1).min() < (rows >= 0).sum(axis=1).max() for rows, _ in data)
+    assert edges < 20
+
+
 def test_stretches_decode_like_whole_texts(field):
     """Fixing sure tokens does not change the best path."""
     rng, tagger = np.random.default_rng(0), secret_crf.Tagger(field)
