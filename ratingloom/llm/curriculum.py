@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ratingloom.llm.shared import WORD, row_hash, written
+from ratingloom.llm.shared import WORD, own_orders, row_hash, written
 
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
@@ -186,7 +186,7 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS,
     targets = written(source_targets(sizes, weights, epochs), "mix-targets")
     slices = max(1, -(-sizes.count() // slice_rows))
     order = F.xxhash64(F.lit(seed), "doc_id", "text_hash")
-    keyed = sizes.withColumn("order", order).withColumn(
+    keyed = own_orders(sizes.withColumn("order", order)).withColumn(
         "slice", F.pmod(F.shiftrightunsigned("order", 16), F.lit(slices)).cast("long"))
     wanted = targets.select(
         F.col("source").alias("_source"), "source_size", "target", "rank",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 import types
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ratingloom.session import scratch_folder
 
@@ -60,3 +60,24 @@ def join_counted(facts: DataFrame, groups: DataFrame, key: str, count: str, tota
 def row_hash(text: str = "text") -> Column:
     """Tells apart rows that repeat a doc_id with another text."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def own_orders(rows: DataFrame) -> DataFrame:
+    """``rows`` (order, row, ...; written, so that the generated ``row`` is fixed) with another order for
+    every copy but the first of rows that share one. Copies are numbered by the part of the table that
+    holds them and within it, so no task holds all; orders that are unique stay as they are."""
+    part = F.shiftrightunsigned("row", 33)
+    same = Window.partitionBy("order")
+    shared = written(
+        rows.groupBy("order", part.alias("part")).agg(F.count("*").alias("n"))
+        .withColumn("before", F.sum("n").over(same.orderBy("part")) - F.col("n"))
+        .withColumn("all", F.sum("n").over(same)).where("all > 1").select("order", "part", "before"), "copies")
+    if shared.isEmpty():
+        return rows
+    inside = Window.partitionBy("order", "part").orderBy("row")
+    copies = (rows.select("order", "row", part.alias("part")).join(shared, ["order", "part"])
+              .select(F.col("row").alias("_row"),
+                      (F.col("before") + F.row_number().over(inside) - 1).alias("_copy")).where("_copy > 0"))
+    return (rows.join(copies, F.col("row") == F.col("_row"), "left")
+            .withColumn("order", F.when(F.col("_copy").isNotNull(), F.xxhash64("order", "_copy"))
+                        .otherwise(F.col("order"))).drop("_row", "_copy"))

@@ -17,7 +17,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from ratingloom.llm.encoding import Encoder
-from ratingloom.llm.shared import written
+from ratingloom.llm.shared import own_orders, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -97,10 +97,10 @@ def pack(documents: DataFrame, length: int = LENGTH, group: int = GROUP) -> Data
     group has some ``group`` documents at any input; numbers of sequences are distinct over groups. The
     documents' order within a group is that of a hash, so results do not depend on partitions.
     """
-    rows = written(documents, "encoded")
+    rows = written(documents.withColumn("row", F.monotonically_increasing_id()), "encoded")
     groups = max(1, -(-rows.count() // group))
     order = F.xxhash64("doc_id", "n_tokens", "crcs")
-    dealt = rows.withColumn("order", order).withColumn(
+    dealt = own_orders(rows.withColumn("order", order)).drop("row").withColumn(
         "group", F.pmod(F.shiftrightunsigned("order", 16), F.lit(groups)))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:

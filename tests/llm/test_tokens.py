@@ -172,3 +172,12 @@ def test_sequences_hold_their_pieces(spark):
                                    "doc_id long, start long, length long, sequence_id long, offset long")
     found = {r["sequence_id"]: r["ids"] for r in sum_of_squares.sequences(docs, packed).collect()}
     assert found == {7: [5, 6, 7, 8], 8: [9], 9: [9, 9, 9, 1]}
+
+
+def test_copies_without_an_id_are_dealt_over_groups(spark):
+    rows = spark.range(4000).selectExpr("CAST(null AS bigint) AS doc_id", "5L AS n_tokens", "array(7L) AS crcs")
+    found = {}
+    for parts in (2, 7):
+        packed = sum_of_squares.pack(rows.repartition(parts), group=100).collect()
+        found[parts] = collections.Counter(r["sequence_id"] >> 32 for r in packed)
+    assert sum(found[2].values()) == 4000 and max(found[2].values()) <= 200 and found[2] == found[7]
