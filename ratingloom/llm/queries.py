@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratingloom.llm import (coordinate_join, curriculum, digest_index, piece_counts, secret_crf,
+from ratingloom.llm import (coordinate_join, curriculum, digest_index, piece_counts, rule_ensemble, secret_crf,
                             sum_of_squares, target_ratio, token_orc, url_filter, warc)
 from ratingloom.llm.shared import table, written
 from ratingloom.session import scratch_folder
@@ -66,6 +66,11 @@ def op10_coordinate_join(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_rule_ensemble(spark: SparkSession, d: str) -> DataFrame:
+    found = rule_ensemble.classify(table(spark, d, "documents"), table(spark, d, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 OP9_SQL = r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h
            FROM documents)
@@ -94,4 +99,5 @@ QUERIES = {
     "op8_piece_counts": (op8_piece_counts, None),
     "op9_digest_index": (op9_digest_index, OP9_SQL),
     "op10_coordinate_join": (op10_coordinate_join, None),
+    "op11_rule_ensemble": (op11_rule_ensemble, None),
 }
