@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratingloom.llm import (coordinate_join, curriculum, digest_index, piece_counts, rule_ensemble, secret_crf,
-                            sum_of_squares, target_ratio, token_orc, url_filter, warc)
+                            structure_repair, sum_of_squares, target_ratio, token_orc, url_filter, warc)
 from ratingloom.llm.shared import table, written
 from ratingloom.session import scratch_folder
 
@@ -71,6 +71,11 @@ def op11_rule_ensemble(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def op12_structure_repair(spark: SparkSession, d: str) -> DataFrame:
+    rows = structure_repair.damaged(table(spark, d, "conversations"))
+    return structure_repair.summaries(structure_repair.repaired(rows, rows["gone"]))
+
+
 OP9_SQL = r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h
            FROM documents)
@@ -100,4 +105,5 @@ QUERIES = {
     "op9_digest_index": (op9_digest_index, OP9_SQL),
     "op10_coordinate_join": (op10_coordinate_join, None),
     "op11_rule_ensemble": (op11_rule_ensemble, None),
+    "op12_structure_repair": (op12_structure_repair, None),
 }
