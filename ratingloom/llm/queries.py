@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratingloom.llm import (coordinate_join, curriculum, digest_index, piece_counts, rule_ensemble, secret_crf,
-                            structure_repair, sum_of_squares, target_ratio, token_orc, url_filter, warc)
+                            setm, structure_repair, sum_of_squares, target_ratio, token_orc, url_filter, warc)
 from ratingloom.llm.shared import table, written
 from ratingloom.session import scratch_folder
 
@@ -76,6 +76,10 @@ def op12_structure_repair(spark: SparkSession, d: str) -> DataFrame:
     return structure_repair.summaries(structure_repair.repaired(rows, rows["gone"]))
 
 
+def op13_setm(spark: SparkSession, d: str) -> DataFrame:
+    return setm.collocations(table(spark, d, "documents"))
+
+
 OP9_SQL = r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h
            FROM documents)
@@ -93,6 +97,29 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest,
   CASE WHEN first <> page_id OR page_id IS NULL THEN first END AS refers_to
 FROM f"""
 
+OP13_SQL = r"""
+WITH p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')),
+    '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, coalesce(text, '') AS text FROM documents)),
+ g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (VALUES (1), (2), (3), (4)) AS t(k))),
+ c AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, count(*) AS a FROM g GROUP BY ALL),
+ n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM c WHERE k = 1 GROUP BY lang),
+ f AS (SELECT * FROM c WHERE a >= 30),
+ cuts AS (SELECT lang, phrase, w, a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM f)),
+ s AS (SELECT cuts.*, x.a AS l, y.a AS r,
+    CAST(CAST(2000000 AS HUGEINT) * cuts.a // (x.a + y.a) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = cuts.x JOIN f y ON y.lang = cuts.lang AND y.phrase = cuts.y),
+ best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ inside AS (SELECT lang, array_to_string(w[i:i + z - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - z + 2)) AS i FROM f, (VALUES (2), (3)) AS t(z) WHERE z < k) GROUP BY 1, 2),
+ top AS (SELECT best.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best LEFT JOIN inside USING (lang, phrase)
+  WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST(80 AS HUGEINT) * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM top JOIN n USING (lang) WHERE rank <= 2000"""
+
 QUERIES = {
     "op1_warc": (op1_warc, OP1_SQL),
     "op2_token_orc": (op2_token_orc, None),
@@ -106,4 +133,5 @@ QUERIES = {
     "op10_coordinate_join": (op10_coordinate_join, None),
     "op11_rule_ensemble": (op11_rule_ensemble, None),
     "op12_structure_repair": (op12_structure_repair, None),
+    "op13_setm": (op13_setm, OP13_SQL),
 }
