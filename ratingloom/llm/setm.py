@@ -5,7 +5,8 @@ chunk that holds its occurrences as sorted columns: place (a running number in w
 adjacent) and group (the number of a frequent phrase). To extend phrases by a word, a chunk's relation is
 merged with itself by adjacent place, the pairs are counted in the chunk and added up over all chunks by a
 grouping, and the relation is semi-joined with the pairs that are frequent before the next length. Each
-relation is written. Nothing is sent to all tasks but what a size check allows; a chunk is bounded.
+relation is written; a chunk is bounded. Frequent groups go to all tasks while their size, which is checked,
+allows it; beyond, each chunk is co-grouped with those that it has.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ratingloom.llm.shared import written
-from ratingloom.operators.spread import spread_join
+from ratingloom.operators.spread import is_small, spread_join
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -33,6 +35,8 @@ SCALE = 2_000_000
 CHUNK = 1 << 19
 # A task that reads many languages closes its largest chunk beyond so many chunks' words.
 OPEN = 4
+# Frequent groups up to this size are sent to all tasks.
+SENT_BYTES = 32 << 20
 UNKNOWN = "und"
 
 # Bytes of UTF-8 text: piece ends become line ends, tabs blanks, A-Z lower case.
@@ -151,45 +155,80 @@ def _adjacent(place: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.n
     return np.where(place[at] == wanted, values[at], -1)
 
 
-def _relation_row(of: pa.Table, place: np.ndarray, group: np.ndarray, word: np.ndarray) -> pa.Table:
-    """A row for the chunk of ``of``."""
-    return pa.Table.from_batches([_batch({"chunk": of["chunk"][0].as_py(), "lang": of["lang"][0].as_py(),
-                                          "place": place, "group": group, "word": word}, RELATION)])
+def _restricted(of: pa.Table | pa.RecordBatch, i: int, place: np.ndarray, group: np.ndarray,
+                word: np.ndarray) -> pa.RecordBatch:
+    """Row ``i`` of a relation with other occurrences."""
+    return _batch({"chunk": of.column("chunk")[i].as_py(), "lang": of.column("lang")[i].as_py(),
+                   "place": place, "group": group, "word": word}, RELATION)
 
 
-def _matched(keys: list[np.ndarray], wanted: list[np.ndarray], ids: np.ndarray) -> np.ndarray:
-    """The id of each key among the wanted keys, -1 where there is none. Keys are columns of numbers."""
-    n = len(wanted[0])
-    both = [np.concatenate([w, k]) for w, k in zip(wanted, keys)]
-    code = np.zeros(n + len(keys[0]), np.int64)
-    for column in both:
-        _, column = np.unique(column, return_inverse=True)
-        code = code * (int(column.max(initial=0)) + 1) + column
-    order = np.argsort(code[:n], kind="stable")
-    return _adjacent(code[:n][order], ids[order], code[n:])
+def _followed(of: pa.Table | pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """place, group and next word (-1: none that is frequent) of row ``i``. The relation of single words
+    holds no words, as these are the groups of the next places."""
+    place, group, word = (_column(of, c, i) for c in ("place", "group", "word"))
+    return place, group, word if len(word) else _adjacent(place, group, place + 1)
 
 
-RELATION_KINDS = "chunk long, lang string, place array<int>, group array<long>, word array<long>"
+class PairIds:
+    """Ids of frequent pairs (group, word), found by binary search."""
+
+    def __init__(self, group: np.ndarray, word: np.ndarray, ids: np.ndarray):
+        self.groups, g = np.unique(group, return_inverse=True)
+        self.words, w = np.unique(word, return_inverse=True)
+        code = g * len(self.words) + w
+        order = np.argsort(code)
+        self.codes, self.ids = code[order], ids[order]
+
+    def of(self, group: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """-1 where a pair is not frequent."""
+        g = _adjacent(self.groups, np.arange(len(self.groups)), group)
+        w = _adjacent(self.words, np.arange(len(self.words)), word)
+        found = _adjacent(self.codes, self.ids, g * len(self.words) + w)
+        return np.where((g >= 0) & (w >= 0), found, -1)
 
 
-def frequent_words(occurrences: DataFrame, frequent: DataFrame) -> DataFrame:
-    """The relation of frequent words; ``word`` is the next word's number, -1 for none."""
+RELATION_KINDS = "chunk long, lang string, place array<int>, group array<long>, word array<long>"
+NO_WORDS = np.empty(0, np.int64)
+
+
+def _of_words(of: pa.Table | pa.RecordBatch, i: int, ids: np.ndarray) -> pa.RecordBatch:
+    """Row ``i`` of the occurrences with ``ids`` (-1: not frequent) in place of its own codes."""
+    place, group = _column(of, "place", i), ids[_column(of, "code", i)]
+    return _restricted(of, i, place[group >= 0], group[group >= 0], NO_WORDS)
+
+
+def frequent_words(occurrences: DataFrame, frequent: DataFrame, sent_bytes: int = SENT_BYTES) -> DataFrame:
+    """The relation of frequent words."""
+    wanted = frequent.select("lang", "phrase", "id")
+    if is_small(wanted, sent_bytes):
+        by_lang = {}
+        table = wanted.toArrow().combine_chunks()
+        for lang in pc.unique(table["lang"]).to_pylist():
+            of = table.filter(pc.equal(table["lang"], lang))
+            by_lang[lang] = of["phrase"].combine_chunks(), of["id"].to_numpy()
+        known = occurrences.sparkSession.sparkContext.broadcast(by_lang)
+
+        def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i, lang in enumerate(batch.column("lang").to_pylist()):
+                    phrases, ids = known.value.get(lang, (pa.array([], pa.string()), NO_WORDS))
+                    at = pc.index_in(batch.column("words")[i].values.cast(pa.string()), phrases.cast(pa.string()))
+                    at = pc.fill_null(at, -1).to_numpy(zero_copy_only=False)
+                    yield _of_words(batch, i, np.where(at >= 0, np.append(ids, -1)[at], -1))
+
+        return occurrences.select("chunk", "lang", "place", "code", "words").mapInArrow(number, RELATION_KINDS)
     codes = occurrences.select("chunk", "lang", F.posexplode("words").alias("code", "phrase"))
-    known = spread_join(codes, frequent.select("lang", "phrase", "id"), ["lang", "phrase"]).select(
-        F.col("chunk").alias("of"), "code", "id")
+    here = spread_join(codes, wanted, ["lang", "phrase"]).select(F.col("chunk").alias("of"), "code", "id")
 
     def restrict(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
             return RELATION.empty_table()
-        place, code = _column(left, "place"), _column(left, "code")
-        ids = np.full(int(code.max()) + 1, -1, np.int64)
+        ids = np.full(int(_column(left, "code").max()) + 1, -1, np.int64)
         ids[right["code"].to_numpy()] = right["id"].to_numpy()
-        group = ids[code]
-        place, group = place[group >= 0], group[group >= 0]
-        return _relation_row(left, place, group, _adjacent(place, group, place + 1))
+        return pa.Table.from_batches([_of_words(left, 0, ids)])
 
     return (occurrences.select("chunk", "lang", "place", "code").groupBy("chunk")
-            .cogroup(known.groupBy("of")).applyInArrow(restrict, RELATION_KINDS))
+            .cogroup(here.groupBy("of")).applyInArrow(restrict, RELATION_KINDS))
 
 
 def pair_counts(relation: DataFrame, by_chunk: bool) -> DataFrame:
@@ -197,7 +236,7 @@ def pair_counts(relation: DataFrame, by_chunk: bool) -> DataFrame:
     chunk, or in several chunks of a task at once (chunk is then -1)."""
     kinds = "chunk long, group long, word long, n long"
     schema = pa.schema([(c.split()[0], pa.int64()) for c in kinds.split(", ")])
-    most = 0 if by_chunk else 8 * CHUNK
+    most = 0 if by_chunk else 4 * CHUNK
 
     def counted(chunk: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         group, word = (np.concatenate(column) for column in zip(*parts))
@@ -211,7 +250,7 @@ def pair_counts(relation: DataFrame, by_chunk: bool) -> DataFrame:
         held, size = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
-                group, word = _column(batch, "group", i), _column(batch, "word", i)
+                _, group, word = _followed(batch, i)
                 group, word = group[word >= 0], word[word >= 0]
                 if len(group):
                     held.append((group, word))
@@ -222,56 +261,78 @@ def pair_counts(relation: DataFrame, by_chunk: bool) -> DataFrame:
         if held:
             yield counted(-1, held)
 
-    return relation.select("chunk", "group", "word").mapInArrow(count, kinds)
+    return relation.select("chunk", "place", "group", "word").mapInArrow(count, kinds)
+
 
+def _longer(of: pa.Table | pa.RecordBatch, i: int, pairs: PairIds) -> pa.RecordBatch:
+    """Row ``i`` with phrases one word longer. The next place's phrase ends one word further, so its next word
+    follows the longer phrase too."""
+    place, group, word = _followed(of, i)
+    ids = pairs.of(group, word)
+    found = ids >= 0
+    return _restricted(of, i, place[found], ids[found], _adjacent(place, word, place[found] + 1))
 
-def extended(relation: DataFrame, frequent: DataFrame, length: int) -> DataFrame:
+
+def extended(relation: DataFrame, frequent: DataFrame, sent_bytes: int = SENT_BYTES) -> DataFrame:
     """The relation of phrases one word longer: occurrences that ``frequent`` (group, word, id) has, each
     with the word behind it."""
-    known = spread_join(pair_counts(relation, True).drop("n"), frequent.select("group", "word", "id"),
-                        ["group", "word"]).select(F.col("chunk").alias("of"), "group", "word", "id")
+    wanted = frequent.select("group", "word", "id")
+    if is_small(wanted, sent_bytes):
+        table = wanted.toArrow()
+        known = relation.sparkSession.sparkContext.broadcast([table[c].to_numpy() for c in wanted.columns])
+
+        def lengthen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            pairs = PairIds(*known.value)
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    yield _longer(batch, i, pairs)
+
+        return relation.mapInArrow(lengthen, RELATION_KINDS)
+    here = spread_join(pair_counts(relation, True).drop("n"), wanted, ["group", "word"]).select(
+        F.col("chunk").alias("of"), "group", "word", "id")
 
     def restrict(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
             return RELATION.empty_table()
-        place, group, word = (_column(left, c) for c in ("place", "group", "word"))
-        ids = _matched([group, word], [right["group"].to_numpy(), right["word"].to_numpy()], right["id"].to_numpy())
-        ids = np.where(word >= 0, ids, -1)
-        found = ids >= 0
-        # The next place's phrase ends one word further, so its next word follows the longer phrase too.
-        return _relation_row(left, place[found], ids[found], _adjacent(place, word, place[found] + 1))
+        pairs = PairIds(*[right[c].to_numpy() for c in ("group", "word", "id")])
+        return pa.Table.from_batches([_longer(left, 0, pairs)])
+
+    return relation.groupBy("chunk").cogroup(here.groupBy("of")).applyInArrow(restrict, RELATION_KINDS)
+
 
-    return (relation.groupBy("chunk").cogroup(known.groupBy("of"))
-            .applyInArrow(restrict, RELATION_KINDS))
+def numbered(rows: DataFrame, label: str) -> DataFrame:
+    """``rows``, written, with an ``id`` from 0 without gaps."""
+    rows = written(rows.withColumn("at", F.monotonically_increasing_id()), label)
+    part = F.shiftrightunsigned("at", 33)
+    starts = rows.groupBy(part.alias("part")).agg(F.count("*").alias("n")).withColumn(
+        "before", F.sum("n").over(Window.orderBy("part")) - F.col("n")).drop("n")  # a row per file
+    return (rows.withColumn("part", part).join(F.broadcast(starts), "part")
+            .withColumn("id", F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)).drop("part", "at", "before"))
 
 
-def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
-            chunk_words: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, chunk_words: int = CHUNK,
+            sent_bytes: int = SENT_BYTES) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, length, a) of all phrases of at most ``longest`` words with ``least`` occurrences or
     more, and (lang, n) with the words of each language."""
     occurrences = written(chunks(docs, chunk_words), "occurrences", "zstd")
     totals = occurrences.groupBy("lang").agg(F.sum("size").alias("n"))
-    words = (occurrences.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
-             .groupBy("lang", F.col("w.words").alias("phrase")).agg(F.sum("w.counts").alias("a"))
-             .where(F.col("a") >= least))
-    words = written(words.withColumn("id", F.monotonically_increasing_id()), "phrases-1")
-    relation = written(frequent_words(occurrences, words), "relation-1", "zstd")
-    found = [words.select("lang", "phrase", F.lit(1).alias("length"), "a")]
+    words = numbered(occurrences.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
+                     .groupBy("lang", F.col("w.words").alias("phrase")).agg(F.sum("w.counts").alias("a"))
+                     .where(F.col("a") >= least), "phrases-1")
+    relation = written(frequent_words(occurrences, words, sent_bytes), "relation-1", "zstd")
+    whole = words.select("lang", "phrase", F.lit(1).alias("length"), "a")
     last = words
     for length in range(2, longest + 1):
-        pairs = (pair_counts(relation, False).groupBy("group", "word").agg(F.sum("n").alias("a"))
-                 .where(F.col("a") >= least).withColumn("id", F.monotonically_increasing_id()))
-        pairs = written(pairs, f"pairs-{length}")
+        # Counted by task already, so the rows are dealt without another count before it.
+        pairs = numbered(pair_counts(relation, False).repartition("group", "word").groupBy("group", "word")
+                         .agg(F.sum("n").alias("a")).where(F.col("a") >= least), f"pairs-{length}")
         named = spread_join(pairs, last.select(F.col("id").alias("group"), "lang", "phrase"), ["group"])
         named = spread_join(named, words.select(F.col("id").alias("word"), F.col("phrase").alias("next")), ["word"])
         last = written(named.select("lang", F.concat_ws(" ", "phrase", "next").alias("phrase"), "a", "id"),
                        f"phrases-{length}")
-        found.append(last.select("lang", "phrase", F.lit(length).alias("length"), "a"))
+        whole = whole.unionByName(last.select("lang", "phrase", F.lit(length).alias("length"), "a"))
         if length < longest:
-            relation = written(extended(relation, pairs, length), f"relation-{length}", "zstd")
-    whole = found[0]
-    for part in found[1:]:
-        whole = whole.unionByName(part)
+            relation = written(extended(relation, pairs, sent_bytes), f"relation-{length}", "zstd")
     return whole, totals
 
 
@@ -312,14 +373,14 @@ def uncovered(candidates: DataFrame, counts: DataFrame, percent: int = COVERED)
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP,
-                 chunk_words: int = CHUNK) -> DataFrame:
+                 chunk_words: int = CHUNK, sent_bytes: int = SENT_BYTES) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the ``top`` phrases of each language by score.
 
     Null texts have no words; a null language is ``und``; texts of one language are counted together
     however often a row is repeated; ties are in the order of the phrases' bytes; an empty table
     gives no rows. Other columns of ``docs`` are not read.
     """
-    counts, totals = phrases(docs, least, longest, chunk_words)
+    counts, totals = phrases(docs, least, longest, chunk_words, sent_bytes)
     kept = written(uncovered(scored(counts), counts), "candidates")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
     best = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)

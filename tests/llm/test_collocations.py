@@ -53,10 +53,11 @@ TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("chunk_words", [1, 7, 1000])
-def test_small_texts_in_chunks_of_any_size(spark, chunk_words):
+@pytest.mark.parametrize("chunk_words, sent_bytes", [(1, 0), (1, 1 << 20), (7, 0), (1000, 1 << 20)])
+def test_small_texts_in_chunks_of_any_size(spark, chunk_words, sent_bytes):
+    """Frequent groups go to all tasks, or to the chunks that have them."""
     docs = spark.createDataFrame([(*t, 1, "x") for t in TEXTS], "lang string, text string, n int, phrase string")
-    rows = found(setm.collocations(docs.repartition(3), least=2, chunk_words=chunk_words))
+    rows = found(setm.collocations(docs.repartition(3), least=2, chunk_words=chunk_words, sent_bytes=sent_bytes))
     assert rows == by_hand(TEXTS, 2) and len(rows) > 8
     assert found(setm.collocations(docs.limit(0))) == []
 
