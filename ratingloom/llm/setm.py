@@ -32,7 +32,7 @@ TOP = 2_000
 COVERED = 80
 SCALE = 2_000_000
 # Words in a chunk. A chunk ends between pieces, so only a longer piece exceeds it.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 # A task that reads many languages closes its largest chunk beyond so many chunks' words.
 OPEN = 4
 # Frequent groups up to this size are sent to all tasks.
