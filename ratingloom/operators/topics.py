@@ -37,7 +37,7 @@ def bag_of_words(tokens: DataFrame, key: str) -> DataFrame:
     return tokens.groupBy(key, "term").agg(F.count("*").alias("n"))
 
 
-def _top_terms(weights: DataFrame, keys: list[str], terms: int) -> DataFrame:
+def top_terms(weights: DataFrame, keys: list[str], terms: int) -> DataFrame:
     """The heaviest terms of each group with their share of the group's whole weight."""
     group = Window.partitionBy(*keys)
     rank = F.row_number().over(group.orderBy(F.desc("w"), "term"))
@@ -49,7 +49,7 @@ def _top_terms(weights: DataFrame, keys: list[str], terms: int) -> DataFrame:
 def segment_top_terms(tokens: DataFrame, segment: list[str] = SEGMENT, terms: int = TERMS) -> DataFrame:
     """The most used terms of each segment and their share of its tokens."""
     counts = tokens.groupBy(*segment, "term").agg(F.count("*").alias("w"))
-    return _top_terms(counts, segment, terms).withColumnRenamed("w", "n")
+    return top_terms(counts, segment, terms).withColumnRenamed("w", "n")
 
 
 def topic_text(weight: Column, term: Column) -> Column:
@@ -70,7 +70,7 @@ def segment_topics(tokens: DataFrame, segment: list[str] = SEGMENT, terms: int =
             .select(*segment, F.array("topic").alias("topics")))
 
 
-def _fractions(parts: list[Column]) -> list[Column]:
+def term_fractions(parts: list[Column]) -> list[Column]:
     """Parts of their sum, as decimals: sums of them do not depend on the order of rows."""
     whole = reduce(lambda x, y: x + y, parts)
     return [(p / whole).cast("decimal(12,9)") for p in parts]
@@ -97,7 +97,7 @@ def lda_topics(reviews: DataFrame, key: str, text: str, stop_words: list[str],
     bags = (topic_token_table(reviews, [*segment, key], text, stop_words)
             .groupBy(*segment, key, "term").agg(F.count("*").alias("n")))
     starts = [start_value(seed, t, [*segment, "term"]) for t in range(k)]
-    state = bags.select("*", *[r.alias(c) for r, c in zip(_fractions(starts), split)])
+    state = bags.select("*", *[r.alias(c) for r, c in zip(term_fractions(starts), split)])
 
     def sums(df: DataFrame, keys: list[str], names: str) -> DataFrame:
         return df.groupBy(*keys).agg(*[F.sum(F.col("n") * F.col(c)).cast("double").alias(f"{names}{t}")
@@ -107,19 +107,21 @@ def lda_topics(reviews: DataFrame, key: str, text: str, stop_words: list[str],
         path = scratch_folder(spark, "topics")
         state.write.parquet(path)
         state = spark.read.parquet(path)
-        weights = sums(state, [*segment, "term"], "b")
-        whole = state.groupBy(*segment).agg(
-            F.count_distinct("term").alias("words"),
-            *[F.sum(F.col("n") * F.col(c)).cast("double").alias(f"a{t}") for t, c in enumerate(split)])
+        exact = state.groupBy(*segment, "term").agg(*[
+            F.sum(F.col("n") * F.col(c)).alias(f"b{t}") for t, c in enumerate(split)])
+        # The segment's sums and number of words follow from its terms; no pass counts the state again.
+        whole = exact.groupBy(*segment).agg(F.count("*").alias("words"), *[
+            F.sum(f"b{t}").cast("double").alias(f"a{t}") for t in range(k)])
+        weights = exact.select(*segment, "term", *[F.col(f"b{t}").cast("double").alias(f"b{t}") for t in range(k)])
         joined = (state.join(sums(state, [*segment, key], "d"), [*segment, key])
                   .join(weights.join(whole, segment), [*segment, "term"]))
         parts = [(F.col(f"d{t}") + 1.0 / k) * (F.col(f"b{t}") + 1.0 / k)
                  / (F.col(f"a{t}") + F.col("words") / float(k)) for t in range(k)]
-        state = joined.select(*segment, key, "term", "n", *[r.alias(c) for r, c in zip(_fractions(parts), split)])
+        state = joined.select(*segment, key, "term", "n", *[r.alias(c) for r, c in zip(term_fractions(parts), split)])
     weights = (sums(state, [*segment, "term"], "t").unpivot([*segment, "term"], [f"t{t}" for t in range(k)], "topic", "w")
                .withColumn("topic", F.substring("topic", 2, 9).cast("int")))
     # Weights below the decimals that a pass keeps are none.
-    return _top_terms(weights.where("w > 0").withColumn("w", F.round("w", 6)), [*segment, "topic"], terms).drop("w")
+    return top_terms(weights.where("w > 0").withColumn("w", F.round("w", 6)), [*segment, "topic"], terms).drop("w")
 
 
 def lda_segment_topics(lda: DataFrame, segment: list[str] = SEGMENT) -> DataFrame:

@@ -159,7 +159,7 @@ spiked AS (SELECT * FROM texts WHERE (business_id, year, month) IN
   (SELECT (business_id, year, month) FROM flagged))"""
 
 
-def _terms(source: str) -> str:
+def terms_sql(source: str) -> str:
     return rf"""
 terms AS (SELECT doc_id, business_id, year, month, term FROM {source},
     unnest(string_split_regex(regexp_replace(lower(review_text), '[^a-z\s]', '', 'g'), '\s+')) AS u(term)
@@ -275,7 +275,7 @@ lda AS (SELECT {key}, topic, rank, term, {b.rounded('w / a', 3)} AS weight FROM
     return ",".join(steps)
 
 
-LDA_VIEWS = [*TEXT_FLAGS, SPIKED, _terms("spiked"), _lda_passes()]
+LDA_VIEWS = [*TEXT_FLAGS, SPIKED, terms_sql("spiked"), _lda_passes()]
 
 QUERIES = {
     "tokens": (tokens, b.with_views([b.TEXTS], r"""
@@ -330,13 +330,13 @@ SELECT sentiment, word, "count" FROM (SELECT *, row_number() OVER (PARTITION BY
 SELECT sentiment, rating_category, count(*) AS reviews FROM labels_ GROUP BY sentiment, rating_category""")),
     "spike_reviews": (spike_reviews, b.with_views([*TEXT_FLAGS, SPIKED],
         "SELECT doc_id, business_id, year, month, review_text FROM spiked")),
-    "topic_tokens": (topic_tokens, b.with_views([b.TEXTS, _terms("texts")], """
+    "topic_tokens": (topic_tokens, b.with_views([b.TEXTS, terms_sql("texts")], """
 SELECT doc_id, count(*) AS tokens, count(DISTINCT term) AS terms FROM terms GROUP BY doc_id""")),
-    "bag_of_words": (bag_of_words, b.with_views([b.TEXTS, _terms("texts")],
+    "bag_of_words": (bag_of_words, b.with_views([b.TEXTS, terms_sql("texts")],
         "SELECT doc_id, term, count(*) AS n FROM terms GROUP BY doc_id, term")),
-    "segment_top_terms": (segment_top_terms, b.with_views([*TEXT_FLAGS, SPIKED, _terms("spiked"), TOP_TERMS],
+    "segment_top_terms": (segment_top_terms, b.with_views([*TEXT_FLAGS, SPIKED, terms_sql("spiked"), TOP_TERMS],
         "SELECT * FROM tops")),
-    "spike_report": (spike_report, b.with_views([*TEXT_FLAGS, SPIKED, _terms("spiked"), TOP_TERMS], """
+    "spike_report": (spike_report, b.with_views([*TEXT_FLAGS, SPIKED, terms_sql("spiked"), TOP_TERMS], """
 SELECT flagged.*, coalesce(topics, '') AS topics FROM flagged LEFT JOIN (
   SELECT business_id, year, month, string_agg(CAST(CAST(weight AS DECIMAL(18, 3)) AS VARCHAR)
     || '*"' || term || '"', ' + ' ORDER BY rank) AS topics FROM tops GROUP BY ALL) t

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What the library relies on. A cluster session that already exists keeps its own values.
 SETTINGS = {
@@ -41,3 +41,11 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="ratingloom-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to a fresh scratch folder and read back: cuts the lineage, and fixes what depends on
+    the order of tasks."""
+    path = scratch_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
