@@ -1,8 +1,8 @@
 """Collocations by set-oriented mining: relations of sorted occurrences, extended word by word.
 
 The occurrences of a language are cut into chunks of whole pieces. A relation is a table with a row per
-chunk that holds its occurrences as sorted columns: place (a running number in which pieces are never
-adjacent) and group (the number of a frequent phrase). To extend phrases by a word, a chunk's relation is
+chunk that holds its occurrences as sorted columns of packed numbers: place (a running number in which pieces
+are never adjacent) and group (the number of a frequent phrase). To extend phrases by a word, a chunk's relation is
 merged with itself by adjacent place, the pairs are counted in the chunk and added up over all chunks by a
 grouping, and the relation is semi-joined with the pairs that are frequent before the next length. Each
 relation is written; a chunk is bounded. Frequent groups go to all tasks while their size, which is checked,
@@ -35,6 +35,9 @@ SCALE = 2_000_000
 CHUNK = 1 << 18
 # A task that reads many languages closes its largest chunk beyond so many chunks' words.
 OPEN = 4
+# Pairs that a task counts at a time, and occurrences of all texts per bucket of pairs.
+COUNTED = 1 << 20
+A_BUCKET = 1 << 21
 # Frequent groups up to this size are sent to all tasks.
 SENT_BYTES = 32 << 20
 UNKNOWN = "und"
@@ -75,28 +78,33 @@ class _Chunk:
     def row(self, lang: str, chunk: int) -> dict:
         codes, begins = np.concatenate(self.codes), np.concatenate(self.breaks)
         counts = np.bincount(codes, minlength=len(self.known))
-        place = np.cumsum(1 + begins.astype(np.int32), dtype=np.int32)
-        return {"chunk": chunk, "lang": lang, "size": self.size, "place": place, "code": codes,
-                "words": [w.decode("utf-8", "surrogatepass") for w in self.known], "counts": counts}
+        return {"chunk": chunk, "lang": lang, "size": self.size, "steps": packed(1 + begins.astype(np.int64)),
+                "code": packed(codes), "words": [w.decode("utf-8", "surrogatepass") for w in self.known],
+                "counts": counts}
 
 
-def _batch(row: dict, schema: pa.Schema) -> pa.RecordBatch:
-    """One row, with lists from arrays of numbers as they are."""
-    def cell(field: pa.Field) -> pa.Array:
-        value = row[field.name]
-        if not pa.types.is_list(field.type):
-            return pa.array([value], field.type)
-        return pa.ListArray.from_arrays(pa.array([0, len(value)], pa.int32()),
-                                        pa.array(value, field.type.value_type)).cast(field.type)
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers from 0 as bytes of the least width, which the first byte tells: a cell that Spark and its
+    files move as it is."""
+    top = int(numbers.max(initial=0))
+    width = next(w for w in (1, 2, 4, 8) if top < 1 << 8 * w)
+    return bytes([width]) + numbers.astype(f"<u{width}").tobytes()
+
+
+def unpacked(cell: bytes) -> np.ndarray:
+    return np.frombuffer(cell, f"<u{cell[0]}", offset=1).astype(np.int64)
 
-    return pa.RecordBatch.from_arrays([cell(f) for f in schema], schema=schema)
+
+def _batch(row: dict, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in schema], schema=schema)
 
 
 OCCURRENCES = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("size", pa.int64()),
-                         ("place", pa.list_(pa.int32())), ("code", pa.list_(pa.int32())),
+                         ("steps", pa.binary()), ("code", pa.binary()),
                          ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
-RELATION = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("place", pa.list_(pa.int32())),
-                      ("group", pa.list_(pa.int64())), ("word", pa.list_(pa.int64()))])
+RELATION = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("steps", pa.binary()),
+                      ("group", pa.binary()), ("next", pa.binary())])
+COUNTS = pa.schema([("bucket", pa.int32()), ("steps", pa.binary()), ("n", pa.binary())])
 
 
 def chunks(docs: DataFrame, chunk_words: int = CHUNK) -> DataFrame:
@@ -136,15 +144,14 @@ def chunks(docs: DataFrame, chunk_words: int = CHUNK) -> DataFrame:
 
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).where("text <> ''")
-    kinds = "chunk long, lang string, size long, place array<int>, code array<int>, words array<string>, counts array<long>"
+    kinds = "chunk long, lang string, size long, steps binary, code binary, words array<string>, counts array<long>"
     return texts.mapInArrow(cut, kinds)
 
 
 # --- extending ----------------------------------------------------------------------------------
 
 def _column(table: pa.Table | pa.RecordBatch, name: str, row: int = 0) -> np.ndarray:
-    """A list cell."""
-    return table.column(name)[row].values.to_numpy(zero_copy_only=False)
+    return unpacked(table.column(name)[row].as_py())
 
 
 def _adjacent(place: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -156,45 +163,28 @@ def _adjacent(place: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.n
 
 
 def _restricted(of: pa.Table | pa.RecordBatch, i: int, place: np.ndarray, group: np.ndarray,
-                word: np.ndarray) -> pa.RecordBatch:
+                following: np.ndarray) -> pa.RecordBatch:
     """Row ``i`` of a relation with other occurrences."""
     return _batch({"chunk": of.column("chunk")[i].as_py(), "lang": of.column("lang")[i].as_py(),
-                   "place": place, "group": group, "word": word}, RELATION)
+                   "steps": packed(np.diff(place, prepend=0)), "group": packed(group),
+                   "next": packed(following + 1)}, RELATION)
 
 
 def _followed(of: pa.Table | pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """place, group and next word (-1: none that is frequent) of row ``i``. The relation of single words
-    holds no words, as these are the groups of the next places."""
-    place, group, word = (_column(of, c, i) for c in ("place", "group", "word"))
-    return place, group, word if len(word) else _adjacent(place, group, place + 1)
+    holds no next words, as these are the groups of the next places."""
+    place, group, following = np.cumsum(_column(of, "steps", i)), _column(of, "group", i), _column(of, "next", i)
+    return place, group, following - 1 if len(following) else _adjacent(place, group, place + 1)
 
 
-class PairIds:
-    """Ids of frequent pairs (group, word), found by binary search."""
-
-    def __init__(self, group: np.ndarray, word: np.ndarray, ids: np.ndarray):
-        self.groups, g = np.unique(group, return_inverse=True)
-        self.words, w = np.unique(word, return_inverse=True)
-        code = g * len(self.words) + w
-        order = np.argsort(code)
-        self.codes, self.ids = code[order], ids[order]
-
-    def of(self, group: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """-1 where a pair is not frequent."""
-        g = _adjacent(self.groups, np.arange(len(self.groups)), group)
-        w = _adjacent(self.words, np.arange(len(self.words)), word)
-        found = _adjacent(self.codes, self.ids, g * len(self.words) + w)
-        return np.where((g >= 0) & (w >= 0), found, -1)
-
-
-RELATION_KINDS = "chunk long, lang string, place array<int>, group array<long>, word array<long>"
-NO_WORDS = np.empty(0, np.int64)
+RELATION_KINDS = "chunk long, lang string, steps binary, group binary, next binary"
+NONE = np.empty(0, np.int64)
 
 
 def _of_words(of: pa.Table | pa.RecordBatch, i: int, ids: np.ndarray) -> pa.RecordBatch:
     """Row ``i`` of the occurrences with ``ids`` (-1: not frequent) in place of its own codes."""
-    place, group = _column(of, "place", i), ids[_column(of, "code", i)]
-    return _restricted(of, i, place[group >= 0], group[group >= 0], NO_WORDS)
+    place, group = np.cumsum(_column(of, "steps", i)), ids[_column(of, "code", i)]
+    return _restricted(of, i, place[group >= 0], group[group >= 0], NONE)
 
 
 def frequent_words(occurrences: DataFrame, frequent: DataFrame, sent_bytes: int = SENT_BYTES) -> DataFrame:
@@ -211,12 +201,12 @@ def frequent_words(occurrences: DataFrame, frequent: DataFrame, sent_bytes: int
         def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for i, lang in enumerate(batch.column("lang").to_pylist()):
-                    phrases, ids = known.value.get(lang, (pa.array([], pa.string()), NO_WORDS))
+                    phrases, ids = known.value.get(lang, (pa.array([], pa.string()), NONE))
                     at = pc.index_in(batch.column("words")[i].values.cast(pa.string()), phrases.cast(pa.string()))
                     at = pc.fill_null(at, -1).to_numpy(zero_copy_only=False)
                     yield _of_words(batch, i, np.where(at >= 0, np.append(ids, -1)[at], -1))
 
-        return occurrences.select("chunk", "lang", "place", "code", "words").mapInArrow(number, RELATION_KINDS)
+        return occurrences.select("chunk", "lang", "steps", "code", "words").mapInArrow(number, RELATION_KINDS)
     codes = occurrences.select("chunk", "lang", F.posexplode("words").alias("code", "phrase"))
     here = spread_join(codes, wanted, ["lang", "phrase"]).select(F.col("chunk").alias("of"), "code", "id")
 
@@ -227,75 +217,107 @@ def frequent_words(occurrences: DataFrame, frequent: DataFrame, sent_bytes: int
         ids[right["code"].to_numpy()] = right["id"].to_numpy()
         return pa.Table.from_batches([_of_words(left, 0, ids)])
 
-    return (occurrences.select("chunk", "lang", "place", "code").groupBy("chunk")
+    return (occurrences.select("chunk", "lang", "steps", "code").groupBy("chunk")
             .cogroup(here.groupBy("of")).applyInArrow(restrict, RELATION_KINDS))
 
 
-def pair_counts(relation: DataFrame, by_chunk: bool) -> DataFrame:
-    """chunk, group, word, n: how often each frequent phrase is followed by each frequent word, in each
-    chunk, or in several chunks of a task at once (chunk is then -1)."""
-    kinds = "chunk long, group long, word long, n long"
-    schema = pa.schema([(c.split()[0], pa.int64()) for c in kinds.split(", ")])
-    most = 0 if by_chunk else 4 * CHUNK
+def _pairs(of: pa.Table | pa.RecordBatch, i: int, words: int) -> np.ndarray:
+    """Row ``i``'s phrases that a frequent word follows, as group * words + word."""
+    _, group, following = _followed(of, i)
+    return (group * words + following)[following >= 0]
+
 
-    def counted(chunk: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        group, word = (np.concatenate(column) for column in zip(*parts))
-        words, code = np.unique(word, return_inverse=True)
-        groups, both = np.unique(group, return_inverse=True)
-        pairs, n = np.unique(both * len(words) + code, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (
-            np.full(len(pairs), chunk), groups[pairs // len(words)], words[pairs % len(words)], n)], schema=schema)
+def pair_counts(relation: DataFrame, words: int, buckets: int, least: int) -> DataFrame:
+    """pair (group * words + word), a: how often each frequent phrase is followed by each of the ``words``
+    frequent words, where that is at least ``least``.
 
+    A task counts the pairs of a few chunks, and sends each of ``buckets`` parts of them as one row of sorted
+    numbers; a bucket's rows are then added up.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            pairs, n = np.unique(np.concatenate(held), return_counts=True)
+            bucket = (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+            for b in np.flatnonzero(np.diff(edges)):
+                part = order[edges[b]:edges[b + 1]]
+                yield _batch({"bucket": int(b), "steps": packed(np.diff(pairs[part], prepend=0)),
+                              "n": packed(n[part])}, COUNTS)
+
         for batch in batches:
             for i in range(batch.num_rows):
-                _, group, word = _followed(batch, i)
-                group, word = group[word >= 0], word[word >= 0]
-                if len(group):
-                    held.append((group, word))
-                    size += len(group)
-                if size > most:
-                    yield counted(batch.column("chunk")[i].as_py() if by_chunk else -1, held)
+                held.append(_pairs(batch, i, words))
+                size += len(held[-1])
+                if size > COUNTED:
+                    yield from sent()
                     held, size = [], 0
-        if held:
-            yield counted(-1, held)
+        if size:
+            yield from sent()
+
+    def added(rows: pa.Table) -> pa.Table:
+        pairs = np.concatenate([np.cumsum(unpacked(x)) for x in rows["steps"].to_pylist()])
+        n = np.concatenate([unpacked(x) for x in rows["n"].to_pylist()])
+        order = np.argsort(pairs, kind="stable")
+        pairs, n = pairs[order], n[order]
+        firsts = np.flatnonzero(np.diff(pairs, prepend=-1))
+        total = np.add.reduceat(n, firsts)
+        keep = total >= least
+        return pa.table({"pair": pairs[firsts][keep], "a": total[keep]})
+
+    sent = relation.select("chunk", "steps", "group", "next").mapInArrow(count, "bucket int, steps binary, n binary")
+    return sent.groupBy("bucket").applyInArrow(added, "pair long, a long")
+
+
+def chunk_pairs(relation: DataFrame, words: int) -> DataFrame:
+    """of (a chunk), pair: the distinct pairs of each chunk."""
+    schema = pa.schema([("of", pa.int64()), ("pair", pa.int64())])
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                pairs = np.unique(_pairs(batch, i, words))
+                chunk = np.full(len(pairs), batch.column("chunk")[i].as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(chunk, pa.int64()), pa.array(pairs, pa.int64())], schema=schema)
 
-    return relation.select("chunk", "place", "group", "word").mapInArrow(count, kinds)
+    return relation.select("chunk", "steps", "group", "next").mapInArrow(listed, "of long, pair long")
 
 
-def _longer(of: pa.Table | pa.RecordBatch, i: int, pairs: PairIds) -> pa.RecordBatch:
-    """Row ``i`` with phrases one word longer. The next place's phrase ends one word further, so its next word
-    follows the longer phrase too."""
-    place, group, word = _followed(of, i)
-    ids = pairs.of(group, word)
-    found = ids >= 0
-    return _restricted(of, i, place[found], ids[found], _adjacent(place, word, place[found] + 1))
+def _longer(of: pa.Table | pa.RecordBatch, i: int, words: int, pairs: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    """Row ``i`` with phrases one word longer, of the sorted ``pairs`` with their ``ids``. The next place's
+    phrase ends one word further, so its next word follows the longer phrase too."""
+    place, group, following = _followed(of, i)
+    found = np.where(following >= 0, _adjacent(pairs, ids, group * words + following), -1)
+    keep = found >= 0
+    return _restricted(of, i, place[keep], found[keep], _adjacent(place, following, place[keep] + 1))
 
 
-def extended(relation: DataFrame, frequent: DataFrame, sent_bytes: int = SENT_BYTES) -> DataFrame:
-    """The relation of phrases one word longer: occurrences that ``frequent`` (group, word, id) has, each
-    with the word behind it."""
-    wanted = frequent.select("group", "word", "id")
+def extended(relation: DataFrame, frequent: DataFrame, words: int, sent_bytes: int = SENT_BYTES) -> DataFrame:
+    """The relation of phrases one word longer: occurrences that ``frequent`` (pair, id) has, each with the
+    word behind it."""
+    wanted = frequent.select("pair", "id")
     if is_small(wanted, sent_bytes):
         table = wanted.toArrow()
-        known = relation.sparkSession.sparkContext.broadcast([table[c].to_numpy() for c in wanted.columns])
+        pairs, ids = (table[c].to_numpy() for c in ("pair", "id"))
+        order = np.argsort(pairs)
+        known = relation.sparkSession.sparkContext.broadcast((pairs[order], ids[order]))
 
         def lengthen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            pairs = PairIds(*known.value)
             for batch in batches:
                 for i in range(batch.num_rows):
-                    yield _longer(batch, i, pairs)
+                    yield _longer(batch, i, words, *known.value)
 
         return relation.mapInArrow(lengthen, RELATION_KINDS)
-    here = spread_join(pair_counts(relation, True).drop("n"), wanted, ["group", "word"]).select(
-        F.col("chunk").alias("of"), "group", "word", "id")
+    here = spread_join(chunk_pairs(relation, words), wanted, ["pair"])
 
     def restrict(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
             return RELATION.empty_table()
-        pairs = PairIds(*[right[c].to_numpy() for c in ("group", "word", "id")])
-        return pa.Table.from_batches([_longer(left, 0, pairs)])
+        pairs, ids = right["pair"].to_numpy(), right["id"].to_numpy()
+        order = np.argsort(pairs)
+        return pa.Table.from_batches([_longer(left, 0, words, pairs[order], ids[order])])
 
     return relation.groupBy("chunk").cogroup(here.groupBy("of")).applyInArrow(restrict, RELATION_KINDS)
 
@@ -315,24 +337,25 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, chunk_w
     """(lang, phrase, length, a) of all phrases of at most ``longest`` words with ``least`` occurrences or
     more, and (lang, n) with the words of each language."""
     occurrences = written(chunks(docs, chunk_words), "occurrences", "zstd")
-    totals = occurrences.groupBy("lang").agg(F.sum("size").alias("n"))
+    totals = written(occurrences.groupBy("lang").agg(F.sum("size").alias("n")), "totals")
+    size = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     words = numbered(occurrences.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
                      .groupBy("lang", F.col("w.words").alias("phrase")).agg(F.sum("w.counts").alias("a"))
                      .where(F.col("a") >= least), "phrases-1")
     relation = written(frequent_words(occurrences, words, sent_bytes), "relation-1", "zstd")
     whole = words.select("lang", "phrase", F.lit(1).alias("length"), "a")
-    last = words
+    last, known = words, max(1, words.count())
     for length in range(2, longest + 1):
-        # Counted by task already, so the rows are dealt without another count before it.
-        pairs = numbered(pair_counts(relation, False).repartition("group", "word").groupBy("group", "word")
-                         .agg(F.sum("n").alias("a")).where(F.col("a") >= least), f"pairs-{length}")
-        named = spread_join(pairs, last.select(F.col("id").alias("group"), "lang", "phrase"), ["group"])
+        pairs = numbered(pair_counts(relation, known, 1 + size // A_BUCKET, least), f"pairs-{length}")
+        named = pairs.select("a", "id", "pair", F.expr(f"pair DIV {known}").alias("group"),
+                             F.expr(f"pair % {known}").alias("word"))
+        named = spread_join(named, last.select(F.col("id").alias("group"), "lang", "phrase"), ["group"])
         named = spread_join(named, words.select(F.col("id").alias("word"), F.col("phrase").alias("next")), ["word"])
         last = written(named.select("lang", F.concat_ws(" ", "phrase", "next").alias("phrase"), "a", "id"),
                        f"phrases-{length}")
         whole = whole.unionByName(last.select("lang", "phrase", F.lit(length).alias("length"), "a"))
         if length < longest:
-            relation = written(extended(relation, pairs, sent_bytes), f"relation-{length}", "zstd")
+            relation = written(extended(relation, pairs, known, sent_bytes), f"relation-{length}", "zstd")
     return whole, totals
 
 
