@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ratingloom.functions.dates import label_parts
 from ratingloom.operators import trends
 from ratingloom.plans import bindings as b
+from ratingloom.plans.trend_store import TrendStore
+from ratingloom.session import scratch_folder
 
 
 def monthly_trends(spark, d):
@@ -45,6 +47,26 @@ def period_labels(spark, d):
     return series.groupBy(year.alias("year"), month.alias("month")).agg(F.count("*").alias("businesses"))
 
 
+def _merged(spark, d) -> TrendStore:
+    """The reviews in three batches, dealt by a hash; the second comes twice, and the first two are compacted."""
+    store, dated = TrendStore(spark, scratch_folder(spark, "trends")), b.dated(spark, d)
+    batch = F.pmod(F.xxhash64("business_id", "datetime", "stars"), F.lit(3))
+    for number in (0, 1, 1):
+        store.merge(number, dated.where(batch == number))
+    store.compact()
+    store.merge(2, dated.where(batch == 2))
+    return store
+
+
+def merged_series(spark, d):
+    return _merged(spark, d).series()
+
+
+def merged_spikes(spark, d):
+    flag = trends.flag_of(trends.THRESHOLD)
+    return _merged(spark, d).series().withColumn("spike_or_dip", flag).where(flag.isNotNull())
+
+
 SERIES = [b.REV, b.MONTHLY]
 FLAGS = [*SERIES, b.CHANGES, b.FLAGGED]
 FLAG_COLUMNS = ("business_id, year, month, monthly_avg_rating, monthly_rating_std, review_volume, "
@@ -56,6 +78,8 @@ QUERIES = {
 SELECT monthly.*, name, address, city, state, postal FROM monthly JOIN biz USING (business_id)""")),
     "quarterly_trends": (quarterly_trends, b.with_views([b.REV, b.QUARTERLY, b.BIZ], """
 SELECT quarterly.*, name, city, state, postal FROM quarterly JOIN biz USING (business_id)""")),
+    "merged_series": (merged_series, b.with_views([*SERIES, b.CHANGES], f"SELECT {FLAG_COLUMNS} FROM changes")),
+    "merged_spikes": (merged_spikes, b.with_views(FLAGS, f"SELECT {FLAG_COLUMNS}, spike_or_dip FROM flagged")),
     "month_over_month": (month_over_month, b.with_views([*SERIES, b.CHANGES],
                                                         f"SELECT {FLAG_COLUMNS} FROM changes")),
     "spikes_dips": (spikes_dips, b.with_views([*FLAGS, b.BIZ], f"""
