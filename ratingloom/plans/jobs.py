@@ -6,12 +6,14 @@ lineage, so a lost executor costs at most the step at hand, and no step is compu
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratingloom.functions.dates import with_date_parts
 from ratingloom.functions.wordlists import RESTAURANT_WORDS, english_stop_words
 from ratingloom.operators import (cleaning, geo, joins, kpis, places, sampling, sentiment, similar,
-                                  topics, trends, words)
+                                  similar_index, text_vectors, topics, trends, words)
 from ratingloom.sources import readers, schemas, writers
 
 
@@ -19,6 +21,12 @@ from ratingloom.sources import readers, schemas, writers
 TREND_NAMES = {"business_id": "business_ID", "name": "business_name"}
 
 
+def made(table: DataFrame | Callable[[], DataFrame]) -> DataFrame:
+    """A table, or what makes it: work that begins while a plan is made, such as fitting a model, is passed as
+    a function, so that a store which has the table already need not begin it."""
+    return table() if callable(table) else table
+
+
 class Store:
     """Tables below one folder that all executors share."""
 
@@ -28,14 +36,14 @@ class Store:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
-    def keep(self, name: str, df: DataFrame) -> DataFrame:
+    def keep(self, name: str, df: DataFrame | Callable[[], DataFrame]) -> DataFrame:
         """Writes a working table and returns it as read back. One file per task: no partition
         columns, which would multiply the files of a big run."""
-        writers.write_parquet(df, self.path(name))
+        writers.write_parquet(made(df), self.path(name))
         return self.spark.read.parquet(self.path(name))
 
-    def publish(self, name: str, df: DataFrame, small: bool = False) -> None:
-        writers.write_json(df, self.path(f"published/{name}"), small)
+    def publish(self, name: str, df: DataFrame | Callable[[], DataFrame], small: bool = False) -> None:
+        writers.write_json(made(df), self.path(f"published/{name}"), small)
 
 
 def _judged(store: Store, name: str, judged: DataFrame) -> DataFrame:
@@ -52,9 +60,9 @@ def numbered(raw: DataFrame) -> DataFrame:
 
 
 def run_etl(spark: SparkSession, business_path: str, review_path: str, folder: str,
-            keyword: str = "food") -> tuple[DataFrame, DataFrame]:
+            keyword: str = "food", store: Store | None = None) -> tuple[DataFrame, DataFrame]:
     """(raw, aggregated) from the two incoming files."""
-    store = Store(spark, folder)
+    store = store or Store(spark, folder)
     business = cleaning.kept_business(_judged(
         store, "business", cleaning.judge_business(readers.read_lines(spark, business_path), keyword)))
     review = cleaning.kept_review(_judged(
@@ -132,8 +140,9 @@ def run_trends(store: Store, raw: DataFrame, stop_words: list[str], model: bool
         return
     reviews = topics.spike_reviews(raw.select("row_id", "review_text", *topics.SEGMENT), flagged)
     if model:
-        found = topics.lda_segment_topics(topics.lda_topics(
-            store.keep("spike_reviews", reviews), "row_id", "review_text", stop_words))
+        kept = store.keep("spike_reviews", reviews)
+        found = store.keep("spike_topics", lambda: topics.lda_segment_topics(topics.lda_topics(
+            kept, "row_id", "review_text", stop_words)))
     else:
         found = topics.segment_topics(topics.topic_token_table(
             reviews, topics.SEGMENT, "review_text", stop_words))
@@ -143,11 +152,24 @@ def run_trends(store: Store, raw: DataFrame, stop_words: list[str], model: bool
     store.publish("spike_dip_topic_modeling", report.withColumnsRenamed(TREND_NAMES))
 
 
-def run_similar(store: Store, raw: DataFrame, aggregated: DataFrame, **fit) -> None:
-    texts = similar.business_text(raw).select("business_id", "name", "city", "state", "combined_text")
-    vectors = similar.word2vec_docs(texts, "combined_text", **fit).drop("combined_text")
-    profiles = store.keep("profiles", similar.business_profiles(vectors, ["name", "city", "state"]))
-    nested = store.keep("similar", similar.recs_nested(similar.similar_topk(profiles)))
+def text_profiles(raw: DataFrame, vectors: str, stop_words: list[str], **fit) -> DataFrame:
+    """Business profiles from the vectors of categories and reviews: "cooccurrence" (tables only, exact at any
+    number of partitions) or "word2vec" (vocabulary on the driver)."""
+    texts = similar.business_text(raw).select("row_id", "business_id", "name", "city", "state", "combined_text")
+    if vectors == "word2vec":
+        found = similar.word2vec_docs(texts, "combined_text", **fit).drop("combined_text")
+    else:
+        size = fit.get("size", similar.VECTOR_SIZE)
+        learned = text_vectors.learn(texts, "combined_text", stop_words, size=size)
+        found = texts.drop("combined_text").join(text_vectors.text_vectors(
+            texts, "row_id", "combined_text", learned, stop_words, size=size), "row_id")
+    return similar.business_profiles(found, ["name", "city", "state"])
+
+
+def run_similar(store: Store, raw: DataFrame, aggregated: DataFrame, vectors: str = "word2vec",
+                stop_words: list[str] | None = None, **fit) -> None:
+    profiles = store.keep("profiles", lambda: text_profiles(raw, vectors, stop_words or [], **fit))
+    nested = store.keep("similar", lambda: similar.recs_nested(similar_index.similar_topk_index(profiles)))
     store.publish("top5_similar_businesses", nested)
     store.publish("similar_businesses_enriched",
                   similar.recs_enriched(nested, places.business_details(aggregated)))
@@ -155,11 +177,11 @@ def run_similar(store: Store, raw: DataFrame, aggregated: DataFrame, **fit) -> N
 
 def run_analytics(spark: SparkSession, raw: DataFrame, aggregated: DataFrame, folder: str,
                   lexicon: DataFrame, domain: list[str] = RESTAURANT_WORDS,
-                  stop_words: list[str] | None = None, **fit) -> None:
+                  stop_words: list[str] | None = None, store: Store | None = None, **fit) -> None:
     stop_words = english_stop_words() if stop_words is None else stop_words
-    store = Store(spark, folder)
+    store = store or Store(spark, folder)
     run_cities(store, aggregated)
-    run_similar(store, raw, aggregated, **fit)
+    run_similar(store, raw, aggregated, stop_words=stop_words, **fit)
     run_geo(store, aggregated)
     run_sentiment(store, raw, lexicon, domain, stop_words)
     run_kpis(store, raw)
