@@ -13,11 +13,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratingloom.operators import trend_state as state, trends
 from ratingloom.operators.spread import spread_join
+from ratingloom.sources import readers
 
 LOG = "kind string, number long, businesses long"
 
@@ -29,12 +29,8 @@ class TrendStore:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def _log(self) -> list:
-        try:
-            return self.spark.read.schema(LOG).json(f"{self.folder}/log").collect()
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
+        path = f"{self.folder}/log"
+        return self.spark.read.schema(LOG).json(path).collect() if readers.exists(self.spark, path) else []
 
     def batches(self) -> list[int]:
         """Numbers of the merged batches."""

@@ -9,6 +9,12 @@ from pyspark.sql.types import StructType
 from ratingloom.sources import schemas
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever store Spark reads it from."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One column ``value``, one row per line."""
     return spark.read.text(path)
