@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ratingloom.llm.shared import WORD, own_orders, row_hash, written
+from ratingloom.llm.shared import WORD, Working, own_orders, row_hash, written
+from ratingloom.operators.spread import is_small
 
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
 SLICE_ROWS = 2_000
+SEED = 11
 # (time, weight factor) knots by rank of the source's weight: heavy sources lead, light ones end.
 SCHEDULES = (((0.0, 1.5), (0.5, 1.0), (1.0, 0.5)),
              ((0.0, 1.0), (1.0, 1.0)),
@@ -90,7 +92,7 @@ def sliced_ends(rows: DataFrame) -> DataFrame:
             .drop("_source", "_slice", "before", "within"))
 
 
-def filled(placed: DataFrame, slice_rows: int) -> DataFrame:
+def filled(placed: DataFrame, slice_rows: int, keep=written) -> DataFrame:
     """_source, reached, steps, picks, over: how the remainder behind a source's first documents is filled.
 
     The unread documents are gone through in their order, and each that still fits is read. A step
@@ -102,7 +104,7 @@ def filled(placed: DataFrame, slice_rows: int) -> DataFrame:
     """
     same = F.col("source").eqNullSafe(F.col("_source"))
     steps = F.array().cast("array<struct<gap:double,slice:bigint>>")
-    state = written(placed.groupBy(F.col("source").alias("_source")).agg(
+    state = keep(placed.groupBy(F.col("source").alias("_source")).agg(
         F.coalesce(F.max(F.when(F.col("fits"), F.col("end"))), F.lit(0)).alias("reached"),
         F.first("left").alias("left")).select(
             "_source", "reached", (F.col("left") - F.col("reached")).alias("gap"), steps.alias("steps"),
@@ -124,7 +126,7 @@ def filled(placed: DataFrame, slice_rows: int) -> DataFrame:
                 F.first("gap").alias("gap"))
             .withColumn("end", F.sum("words").over(by_source.orderBy("stretch"))))
         stops = F.col("end") > F.col("gap")
-        whole = written(stretches.groupBy(F.col("source").alias("_source")).agg(
+        whole = keep(stretches.groupBy(F.col("source").alias("_source")).agg(
             F.coalesce(F.max(F.when(~stops, F.col("end"))), F.lit(0)).alias("more"),
             F.min(F.when(stops, F.struct("from", "to"))).alias("stop")), "mix-step")
         if whole.isEmpty():
@@ -139,7 +141,7 @@ def filled(placed: DataFrame, slice_rows: int) -> DataFrame:
                           F.array_append(got["picks"], k["row"]).alias("picks"))).otherwise(got)).alias("last"))
                   .withColumnRenamed("_source", "_of"))
         step = F.struct("gap", F.coalesce("stop.from", F.lit((1 << 63) - 1)).alias("slice"))
-        state = written(
+        state = keep(
             state.join(whole.withColumnRenamed("_source", "_at"),
                        F.col("_source").eqNullSafe(F.col("_at")), "left")
             .join(picked, F.col("_source").eqNullSafe(F.col("_of")), "left").select(
@@ -151,7 +153,7 @@ def filled(placed: DataFrame, slice_rows: int) -> DataFrame:
             "mix-gaps")
     over = (unread().groupBy(F.col("source").alias("_of"))
             .agg(F.min(F.struct("size", "row")).alias("over")))
-    return written(state.join(over, F.col("_source").eqNullSafe(F.col("_of")), "left").select(
+    return keep(state.join(over, F.col("_source").eqNullSafe(F.col("_of")), "left").select(
         "_source", "reached", "steps", "picks",
         F.when(F.col("over.size") - F.col("gap") < F.col("gap"), F.col("over.row")).alias("over")),
         "mix-filled")
@@ -163,9 +165,31 @@ def is_filler() -> Column:
         | F.array_contains("picks", F.col("row"))
 
 
-def plan(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS,
-         schedules: tuple = SCHEDULES, seed: int = 11, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """row (a number), doc_id, text_hash, size, source_size, target, passes, taken, positions per document.
+def whole_hash(docs: DataFrame) -> Column:
+    """Tells apart rows that differ in any column."""
+    return F.xxhash64(*[F.col(c) for c, kind in docs.dtypes if "map<" not in kind])
+
+
+def first_order(seed: int, doc_id: str, text_hash: str) -> Column:
+    return F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text_hash))
+
+
+def slice_of(order: Column, slices: Column) -> Column:
+    return F.pmod(F.shiftrightunsigned(order, 16), slices).cast("long")
+
+
+def written_plan(docs: DataFrame, **options) -> DataFrame:
+    """The plan, written; its working tables are deleted."""
+    working = Working()
+    planned = written(plan(docs, keep=working.written, **options), "mix-plan")
+    working.drop()
+    return planned
+
+
+def plan(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS, schedules: tuple = SCHEDULES,
+         seed: int = SEED, slice_rows: int = SLICE_ROWS, keep=written) -> DataFrame:
+    """row (a number), doc_id, text_hash, whole_hash (of all columns), source, size, source_size, target, passes,
+    taken, positions per document, and slices, seed and front, by which texts that are not read can be told.
 
     A source's documents stand in an order drawn by a hash of ``seed``, id and text. Every document
     is read once for each whole multiple of its source's size in the target. Of the remainder, those
@@ -176,30 +200,30 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS,
     of its smallest unread document.
 
     Null texts and texts without words have size 0 and are read like others. A null source is a
-    source of its own. Rows with the same id and text are documents of their own; their answers may
-    change places. An empty table gives no rows.
+    source of its own. Rows with the same id and text are documents of their own; the answers of rows that
+    are equal in every column may change places. An empty table gives no rows. ``keep`` writes working tables.
     """
-    sizes = written(docs.select(
+    sizes = keep(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        row_hash().alias("text_hash")).withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
-    targets = written(source_targets(sizes, weights, epochs), "mix-targets")
+        row_hash().alias("text_hash"), whole_hash(docs).alias("whole_hash"))
+        .withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
+    targets = keep(source_targets(sizes, weights, epochs), "mix-targets")
     slices = max(1, -(-sizes.count() // slice_rows))
-    order = F.xxhash64(F.lit(seed), "doc_id", "text_hash")
-    keyed = own_orders(sizes.withColumn("order", order)).withColumn(
-        "slice", F.pmod(F.shiftrightunsigned("order", 16), F.lit(slices)).cast("long"))
+    keyed = own_orders(sizes.withColumn("order", first_order(seed, "doc_id", "text_hash")), keep).withColumn(
+        "slice", slice_of(F.col("order"), F.lit(slices)))
     wanted = targets.select(
         F.col("source").alias("_source"), "source_size", "target", "rank",
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
         .otherwise(0).alias("whole"))
-    placed = written(
+    placed = keep(
         sliced_ends(keyed)
         .join(wanted, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
         .withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
         .withColumn("fits", F.col("end") <= F.col("left")), "mix-order")
     extra = F.when(F.col("fits") | (F.col("size") == 0), False).otherwise(
         is_filler() | F.col("row").eqNullSafe(F.col("over")))
-    turns = (placed.join(filled(placed, slice_rows), F.col("source").eqNullSafe(F.col("_source")))
+    turns = (placed.join(filled(placed, slice_rows, keep), F.col("source").eqNullSafe(F.col("_source")))
              .withColumn("extra", extra).drop("_source", "steps", "picks", "over"))
     # Where the documents that fill the remainder end in it, behind the first ones.
     behind = (sliced_ends(turns.where("extra").select("source", "slice", "order", "row", "size", "reached"))
@@ -216,7 +240,9 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS,
     none = F.array().cast("array<double>")
     return (turns.join(behind, F.col("row") == F.col("_row"), "left")
             .withColumn("passes", F.least(passes, F.lit(epochs)).cast("long"))
-            .select("row", "doc_id", "text_hash", "size", "source_size", "target", "passes",
+            .select("row", "doc_id", "text_hash", "whole_hash", "source", "size", "source_size", "target", "passes",
+                    F.lit(slices).alias("slices"), F.lit(seed).alias("seed"),
+                    ((F.col("whole") > 0) | F.col("fits")).alias("front"),
                     (F.col("passes") * F.col("size")).alias("taken"),
                     F.when((F.col("passes") > 0) & (F.col("target") > 0), positions)
                     .when(F.col("passes") > 0,
@@ -225,19 +251,46 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS,
                     .otherwise(none).alias("positions")))
 
 
+def _perhaps_read(rows: DataFrame, planned: DataFrame) -> DataFrame:
+    """Without most of the rows (_source, _doc, _text) that the plan does not read, so that their texts
+    stay where they are: a source's documents are read from the front of their order up to some place, and
+    the few behind it are listed. Rows that are read all stay; if a list is not small, all others too."""
+    settings = planned.select("slices", "seed").first()
+    if settings is None:
+        return rows
+    order = first_order(settings["seed"], "doc_id", "text_hash")
+    place = F.struct(slice_of(order, F.lit(settings["slices"])), order)
+    read = planned.where("passes > 0").withColumn("place", place)
+    ends = read.where("front").groupBy("source").agg(F.max("place").alias("_end"))
+    if not is_small(ends):
+        return rows
+    ends = F.broadcast(ends.withColumnRenamed("source", "_of"))
+    behind = (read.join(ends, F.col("source").eqNullSafe(F.col("_of")), "left")
+              .where("_end IS NULL OR place > _end")
+              .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.lit(True).alias("_listed")).distinct())
+    if not is_small(behind):
+        return rows
+    own = first_order(settings["seed"], "_doc", "_text")
+    here = F.struct(slice_of(own, F.lit(settings["slices"])), own)
+    known = (rows.join(ends, F.col("_source").eqNullSafe(F.col("_of")), "left")
+             .join(F.broadcast(behind), F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left"))
+    return known.where((here <= F.col("_end")) | F.col("_listed")).select(*rows.columns)
+
+
 def placed_readings(docs: DataFrame, planned: DataFrame) -> DataFrame:
     """_row (a row of ``docs``), _position and _of (the planned row) per reading, range-sorted by
     position. A table written from it has its files in training order."""
-    turns = planned.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
+    turns = planned.select(F.col("doc_id").alias("_id"), F.col("whole_hash").alias("_hash"),
                            F.col("row").alias("_of"), F.explode("positions").alias("_position"))
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_doc"),
-                       row_hash().alias("_text"))
-    if not planned.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
-        rows = rows.dropDuplicates(["_doc", "_text"])  # one row meets the readings of all its copies
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_doc"), row_hash().alias("_text"),
+                       F.col("source").cast("string").alias("_source"), whole_hash(docs).alias("_whole"))
+    rows = _perhaps_read(rows, planned).drop("_source")
+    if not planned.groupBy("doc_id", "whole_hash").count().where("count > 1").isEmpty():
+        rows = rows.dropDuplicates(["_doc", "_whole"])  # one of equal rows meets the readings of all its copies
     return (rows.join(turns, F.col("_doc").eqNullSafe(F.col("_id"))
-                      & (F.col("_text") == F.col("_hash")))
-            .repartitionByRange("_position", "_doc", "_text")
-            .sortWithinPartitions("_position", "_doc", "_text").select("_row", "_position", "_of"))
+                      & (F.col("_whole") == F.col("_hash")))
+            .repartitionByRange("_position", "_doc", "_whole")
+            .sortWithinPartitions("_position", "_doc", "_whole").select("_row", "_position", "_of"))
 
 
 def readings(docs: DataFrame, planned: DataFrame) -> DataFrame:

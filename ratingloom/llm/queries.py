@@ -30,7 +30,7 @@ def op3_target_ratio(spark: SparkSession, d: str) -> DataFrame:
 
 def op4_curriculum(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    planned = written(curriculum.plan(docs), "mix-plan")
+    planned = curriculum.written_plan(docs)
     read = written(curriculum.placed_readings(docs, planned), "mix-readings", "zstd")
     return curriculum.read_back(planned, read).select("doc_id", "size", "source_size", "target", "taken", "positions")
 

@@ -27,6 +27,26 @@ def written(df: DataFrame, label: str, compression: str | None = None) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Working:
+    """Written tables that a step needs only until its result is written."""
+
+    def __init__(self) -> None:
+        self.paths: list[tuple[SparkSession, str]] = []
+
+    def written(self, df: DataFrame, label: str) -> DataFrame:
+        out = written(df, label)
+        self.paths.append((df.sparkSession, out.inputFiles()[0].rsplit("/", 1)[0] if out.inputFiles() else ""))
+        return out
+
+    def drop(self) -> None:
+        """Deletes the tables. Whatever was made of them must have been written."""
+        for spark, path in self.paths:
+            if path:
+                place = spark._jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        self.paths = []
+
+
 def process_memo(name: str) -> dict:
     """A dictionary that lives as long as a Python worker, which runs many tasks. Only for values
     that can be computed again at any time."""
@@ -62,13 +82,13 @@ def row_hash(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
-def own_orders(rows: DataFrame) -> DataFrame:
+def own_orders(rows: DataFrame, keep=None) -> DataFrame:
     """``rows`` (order, row, ...; written, so that the generated ``row`` is fixed) with another order for
     every copy but the first of rows that share one. Copies are numbered by the part of the table that
     holds them and within it, so no task holds all; orders that are unique stay as they are."""
     part = F.shiftrightunsigned("row", 33)
     same = Window.partitionBy("order")
-    shared = written(
+    shared = (keep or written)(
         rows.groupBy("order", part.alias("part")).agg(F.count("*").alias("n"))
         .withColumn("before", F.sum("n").over(same.orderBy("part")) - F.col("n"))
         .withColumn("all", F.sum("n").over(same)).where("all > 1").select("order", "part", "before"), "copies")

@@ -79,6 +79,30 @@ def test_mix_query(spark):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
 
 
+def test_rows_that_differ_in_another_column_are_read_as_themselves(spark):
+    """Equal in id and text, not in source's neighbour column: none stands in for another."""
+    rows = [(1, "a b c", "s", "first"), (1, "a b c", "s", "second"), (2, "d e", "s", "x"), (2, "d e", "s", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, note string")
+    read = curriculum.readings(docs, curriculum.written_plan(docs)).collect()
+    assert sorted(map(tuple, read)) == sorted(rows)
+
+
+def test_only_texts_that_are_read_are_moved(spark):
+    """Of a source that is read in part, what lies behind its front is left out; no reading is."""
+    rows = [(i, " ".join(["w"] * (1 + i % 9)), "abc"[i % 3]) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    planned = curriculum.written_plan(docs, slice_rows=100)
+    from pyspark.sql import functions as F
+    kept = curriculum._perhaps_read(docs.select(
+        F.col("source").alias("_source"), F.col("doc_id").alias("_doc"), curriculum.row_hash().alias("_text")), planned)
+    ids = {r["_doc"] for r in kept.collect()}
+    read = {r["doc_id"] for r in planned.where("passes > 0").collect()}
+    assert read <= ids and len(ids) < len(rows) and len(ids - read) < 0.1 * len(rows)
+    found = curriculum.readings(docs, planned).groupBy("doc_id").count().collect()
+    assert {r["doc_id"]: r["count"] for r in found} == {
+        r["doc_id"]: r["passes"] for r in planned.where("passes > 0").collect()}
+
+
 def test_mix_on_messy_rows(spark):
     docs = messy.documents(spark)
     planned = curriculum.plan(docs, slice_rows=2)
