@@ -26,7 +26,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often, and in the order, in which the curriculum reads it."""
-    return curriculum.readings(docs, curriculum.plan(docs))
+    return curriculum.readings(docs, curriculum.written_plan(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
