@@ -13,8 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ratingloom.llm.shared import SPACES, join_counted, row_hash, written
 from ratingloom.session import scratch_folder
+from ratingloom.sources.readers import exists
 
-BUCKETS = 64
+# An index has at least so many buckets, and one for so many texts that are expected.
+LEAST_BUCKETS = 64
+A_BUCKET = 10_000_000
 
 
 def text_digest(text: str = "text") -> Column:
@@ -23,19 +26,33 @@ def text_digest(text: str = "text") -> Column:
 
 
 class DigestIndex:
-    """The index in ``folder``, made if there is none.
+    """The index in ``folder``, made for ``expected`` texts if there is none.
 
-    Buckets are fixed when the index is made: some 10 million digests a bucket keep a bucket's sort
-    in memory, so take the expected number of texts divided by that. A batch that was appended before
-    an executor or the driver was lost may be appended again: its digests are then found.
+    Buckets are fixed when the index is made, and the folder says how many there are: an index that is opened
+    again has its own number, whatever is expected then. Some 10 million digests a bucket keep a
+    bucket's sort in memory. A batch that was appended before an executor or the driver was lost may be
+    appended again: its digests are then found. ``close`` takes the table's name out of the catalog; the
+    files stay.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, buckets: int = BUCKETS):
-        self.spark, self.buckets = spark, buckets
+    def __init__(self, spark: SparkSession, folder: str, expected: int = 0, buckets: int | None = None):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self.buckets = self._kept_buckets() or buckets or max(LEAST_BUCKETS, -(-expected // A_BUCKET))
+        if not self._kept_buckets():
+            line = spark.createDataFrame([(self.buckets,)], "buckets int").coalesce(1)
+            line.write.mode("overwrite").json(f"{self.folder}/layout")
         self.name = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(f"CREATE TABLE {self.name} (digest STRING, keep_id BIGINT) USING parquet "
-                  f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS "
-                  f"LOCATION '{folder}'")
+                  f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS "
+                  f"LOCATION '{self.folder}/rows'")
+
+    def _kept_buckets(self) -> int | None:
+        path = f"{self.folder}/layout"
+        line = self.spark.read.schema("buckets int").json(path).first() if exists(self.spark, path) else None
+        return line["buckets"] if line else None
+
+    def close(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -81,18 +98,19 @@ def annotate(digests: DataFrame, index: DigestIndex) -> DataFrame:
                     F.col("doc_id").eqNullSafe(F.col("_group.keep_id")).alias("kept"), "digest"))
 
 
-def exact_duplicates(docs: DataFrame, folder: str | None = None,
-                     buckets: int = BUCKETS) -> DataFrame:
+def exact_duplicates(docs: DataFrame, folder: str | None = None, buckets: int | None = None) -> DataFrame:
     """Indexes the documents in ``folder`` (a new one if not given) and annotates each.
 
     Null and empty texts are equal to one another. An empty table gives no rows. Further columns
     of ``docs`` are not read, whatever their names.
     """
     spark = docs.sparkSession
-    index = DigestIndex(spark, folder or scratch_folder(spark, "digest-index"), buckets)
     digests = digests_of(docs)
+    index = DigestIndex(spark, folder or scratch_folder(spark, "digest-index"), digests.count(), buckets)
     index_in_order(index, digests)
-    return annotate(digests, index)
+    found = annotate(digests, index)
+    index.close()
+    return found
 
 
 def keep_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
+from ratingloom.llm.shared import row_hash, written
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # The patterns, their kinds in the order in which equal starts are listed.
@@ -326,16 +328,16 @@ def training_texts(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> list[
     """The texts of at most ``max_documents`` documents that may hold a base span and as many that do
     not, the first by a hash of the id, none longer than ``MAX_CHARS``. The ids are found first, so that
     no text is sorted."""
-    rows = (docs.where("text is not null and doc_id is not null").where(F.length("text") <= MAX_CHARS)
-            .select("doc_id", "text"))
-    flagged = rows.select("doc_id", F.col("text").rlike(HINT).alias("hint"))
-    order = F.xxhash64(F.lit(5), "doc_id")
-    chosen = [r["doc_id"] for hint in (True, False)
-              for r in flagged.where(F.col("hint") == hint).select("doc_id").orderBy(order, "doc_id")
-              .limit(max_documents).collect()]
-    few = docs.sparkSession.createDataFrame([(i,) for i in chosen], "doc_id long")
-    found = rows.join(F.broadcast(few.distinct()), "doc_id").orderBy("doc_id", "text").collect()
-    return [r["text"] for r in found]
+    rows = docs.where("text is not null and doc_id is not null").where(F.length("text") <= MAX_CHARS).select(
+        "doc_id", F.col("text").cast("string").alias("text"), row_hash().alias("hash"))
+    order = [F.xxhash64(F.lit(5), "doc_id"), F.col("doc_id"), F.col("hash")]
+    flagged = written(rows.select("doc_id", "hash", F.col("text").rlike(HINT).alias("hint")), "hints")
+    first = [flagged.where(F.col("hint") == hint).select("doc_id", "hash").distinct().orderBy(*order)
+             .limit(max_documents) for hint in (True, False)]
+    few = F.broadcast(written(first[0].union(first[1]), "training-rows"))
+    # One of the rows that repeat both id and text, so there are at most as many as were chosen.
+    found = rows.join(few, ["doc_id", "hash"]).dropDuplicates(["doc_id", "hash"]).collect()
+    return [r["text"] for r in sorted(found, key=lambda r: (r["doc_id"], r["text"]))]
 
 
 def fit(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, window: int = WINDOW) -> Field:
@@ -368,12 +370,14 @@ def find_secrets(docs: DataFrame, field: Field) -> DataFrame:
     Spans are kind:start:end in code points, end exclusive, by start and kind. Null and empty texts
     have none. Repeated rows and null ids are scanned like any other; an empty table gives no rows.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(field)
+    # Plain values: a broadcast object would be unpickled by the name of its module.
+    sent = docs.sparkSession.sparkContext.broadcast((field.weights, field.moves, sorted(field.words)))
 
     @F.pandas_udf("struct<n_assign:bigint,n_access:bigint,n_hex:bigint,n_crf:bigint,"
                   "base_sha256:string,spans:string>")
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        tagger = Tagger(sent.value)
+        weights, moves, known = sent.value
+        tagger = Tagger(Field(weights, moves, frozenset(known)))
         for texts in batches:
             rows = []
             for text in texts:

@@ -5,10 +5,14 @@ from __future__ import annotations
 import sys
 import types
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ratingloom.session import scratch_folder
 
+# What a task uses of this module travels with it, so that workers need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
 # A key is hot if it holds more than 1/HOT of all rows, so there are fewer than HOT hot keys.

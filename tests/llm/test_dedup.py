@@ -146,3 +146,25 @@ def test_components_of_chains_and_stars(spark):
     want = {i: 0 for i in range(1, 51)} | {i: 100 for i in range(101, 160)} | {300: 200}
     assert {r["node"]: r["component"] for r in found} == want
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_index_opened_again_with_another_number_of_buckets(spark, tmp_path):
+    """The folder's own number holds: nothing that is indexed is taken for new."""
+    rows = [(i, f"text number {i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    folder, before = str(tmp_path / "index"), len(spark.catalog.listTables())
+    assert digest_index.exact_duplicates(docs, folder, buckets=8).where("kept").count() == 200
+    later = spark.createDataFrame([(i + 1000, t) for i, t in rows] + [(5000, "new")], "doc_id long, text string")
+    found = digest_index.exact_duplicates(later, folder, buckets=4).collect()
+    assert len(found) == 201
+    assert [r["doc_id"] for r in found if r["kept"]] == [5000]
+    assert all(r["keep_id"] == r["doc_id"] - 1000 for r in found if not r["kept"])
+    assert len(spark.catalog.listTables()) == before
+
+
+def test_buckets_follow_the_expected_texts(spark, tmp_path):
+    few = digest_index.DigestIndex(spark, str(tmp_path / "a"))
+    many = digest_index.DigestIndex(spark, str(tmp_path / "b"), expected=900_000_001)
+    assert (few.buckets, many.buckets) == (64, 91)
+    few.close()
+    many.close()

@@ -208,3 +208,11 @@ def test_secrets_query(spark):
         spans = r["spans"].split(",") if r["spans"] else []
         assert [s for s in spans if not s.startswith("crf")] == [secret_crf.joined([b]) for b in base]
     assert not docs
+
+
+def test_training_rows_are_bounded_by_rows(spark):
+    """One id on many rows, each with a text of its own, and one row many times."""
+    rows = [(7, f"password = abc{i:05d}") for i in range(300)] + [(8, "nothing here")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = secret_crf.training_texts(docs, max_documents=10)
+    assert len(texts) == 11 == len(set(texts)) and sum(t.startswith("password") for t in texts) == 10
