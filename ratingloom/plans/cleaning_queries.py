@@ -197,13 +197,47 @@ def load_raw(spark, d):
     folder = scratch_folder(spark, "raw")
     writers.write_tsv(joins.join_raw(joins.one_per_key(business, "business_id", ["review_count"]), review),
                       folder)
-    return readers.read_raw(spark, folder)
+    return readers.read_raw(spark, folder, escaped=True)
+
+
+def load_plain(spark, d):
+    """A plain table as others write it: backslashes, quotes and ``\\N`` are text, some lines end with a carriage
+    return, some lack their last field."""
+    k = F.col("p_partkey")
+    key = k.cast("string")
+    fields = [key, F.concat(F.lit("C:\\new\\temp "), F.col("p_name")), F.when(k % 5 == 0, "\\N").otherwise(F.concat(F.lit('"'), key)),
+              F.when(k % 7 == 0, "x").otherwise(F.col("p_size").cast("string"))]
+    line = F.when(k % 11 == 0, F.concat_ws("\t", *fields[:3])).otherwise(F.concat_ws("\t", *fields))
+    folder = scratch_folder(spark, "plain")
+    b.table(spark, d, "part").select(F.concat(line, F.when(k % 3 == 0, "\r").otherwise("")).alias("value")).write.option(
+        "lineSep", "\n").text(folder)
+    return readers.read_tsv(spark, folder, schemas.struct("key:s path:s mark:s size:i"), escaped=False)
+
+
+PARTS = schemas.struct("key:l name:s size:i")
+
+
+def judged_json(spark, d):
+    """Lines with planted faults: cut off, a list, text for a number, blank."""
+    k = F.col("p_partkey")
+    whole = F.to_json(F.struct(k.alias("key"), F.col("p_name").alias("name"), F.when(k % 13 == 0, F.lit("many")).otherwise(
+        F.col("p_size").cast("string")).alias("size")))
+    number = F.regexp_replace(whole, r'"size":"(\d+)"', '"size":$1')
+    line = (F.when(k % 7 == 0, F.substring(number, 1, 12)).when(k % 11 == 0, F.concat(F.lit("["), number, F.lit("]")))
+            .when(k % 17 == 0, "  ").otherwise(number))
+    folder = scratch_folder(spark, "lines")
+    b.table(spark, d, "part").select(line.alias("value")).write.text(folder)
+    return readers.judge_json_lines(spark, folder, PARTS).drop("file")
+
+
+def json_rejects(spark, d):
+    return readers.json_rejects(judged_json(spark, d).withColumn("file", F.lit("all"))).drop("file")
 
 
 def roundtrip_tsv(spark, d):
     folder = scratch_folder(spark, "aggregated")
     writers.write_tsv(b.aggregated(spark, d), folder)
-    return readers.read_aggregated(spark, folder)
+    return readers.read_aggregated(spark, folder, escaped=True)
 
 
 def roundtrip_text(spark, d):
@@ -213,7 +247,7 @@ def roundtrip_text(spark, d):
     text = (F.when(kind == 0, F.concat(F.lit(" \\t\t"), "text", F.lit("\r\n\\"))).when(kind == 1, "")
             .when(kind != 2, F.col("text")))
     writers.write_tsv(b.table(spark, d, "documents").select("doc_id", text.alias("text"), "source"), folder)
-    return readers.read_tsv(spark, folder, b.table(spark, d, "documents").select("doc_id", "text", "source").schema)
+    return readers.read_tsv(spark, folder, b.table(spark, d, "documents").select("doc_id", "text", "source").schema, escaped=True)
 
 
 def publish_json(spark, d):
@@ -253,7 +287,24 @@ long_ AS (SELECT 'total_businesses' AS metric, format('{{:,}}', total_businesses
 PLACE_COLUMNS = "business_id, name, address, city, state, postal, lat, lon, categories, opening_hours"
 STAR_COLUMNS = ", ".join(f"star{i}" for i in range(6))
 
+JSON_SQL = """
+lines AS (SELECT p_partkey AS k, p_name, p_size, '{"key":' || p_partkey || ',"name":"' || p_name || '","size":'
+    || CASE WHEN p_partkey % 13 = 0 THEN '"many"' ELSE CAST(p_size AS VARCHAR) END || '}' AS whole FROM part),
+judged AS (SELECT *, CASE WHEN k % 7 = 0 THEN 'not_json' WHEN k % 11 = 0 THEN 'no_object' WHEN k % 13 = 0 THEN 'bad_field'
+    END AS reject_reason, CASE WHEN k % 7 = 0 THEN substr(whole, 1, 12) WHEN k % 11 = 0 THEN '[' || whole || ']'
+    ELSE whole END AS value FROM lines WHERE k % 17 <> 0 OR k % 7 = 0 OR k % 11 = 0)"""
+
 QUERIES = {
+    "load_plain": (load_plain, """
+SELECT CAST(p_partkey AS VARCHAR) AS key, 'C:\\new\\temp ' || p_name AS path,
+  CASE WHEN p_partkey % 5 = 0 THEN '\\N' ELSE '"' || CAST(p_partkey AS VARCHAR) END AS mark,
+  CASE WHEN p_partkey % 7 <> 0 AND p_partkey % 11 <> 0 THEN p_size END AS size FROM part"""),
+    "judged_json": (judged_json, b.with_views([JSON_SQL], """
+SELECT CASE WHEN reject_reason IS NULL THEN k END AS key, CASE WHEN reject_reason IS NULL THEN p_name END AS name,
+  CASE WHEN reject_reason IS NULL THEN p_size END AS size, reject_reason,
+  CASE WHEN reject_reason IS NOT NULL THEN value END AS value FROM judged""")),
+    "json_rejects": (json_rejects, b.with_views([JSON_SQL], """
+SELECT reject_reason, count(*) AS lines FROM judged WHERE reject_reason IS NOT NULL GROUP BY reject_reason""")),
     "clean_business": (clean_business, b.with_views([BUSINESS_IN], """
 SELECT business_id, name, address, city, state, postal, lat, lon, review_count, categories, opening_hours
 FROM bin WHERE reject_reason IS NULL""")),

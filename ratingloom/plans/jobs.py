@@ -72,11 +72,12 @@ def run_etl(spark: SparkSession, business_path: str, review_path: str, folder: s
             store.keep("aggregated", joins.join_aggregated(business, review)))
 
 
-def stage_text(spark: SparkSession, raw_path: str, aggregated_path: str, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(raw, aggregated) from tab-separated files that were joined before."""
+def stage_text(spark: SparkSession, raw_path: str, aggregated_path: str, folder: str,
+               escaped: bool) -> tuple[DataFrame, DataFrame]:
+    """(raw, aggregated) from tab-separated files that were joined before; ``escaped`` if by ``publish_text``."""
     store = Store(spark, folder)
-    return (store.keep("raw", numbered(readers.read_raw(spark, raw_path))),
-            store.keep("aggregated", readers.read_aggregated(spark, aggregated_path)))
+    return (store.keep("raw", numbered(readers.read_raw(spark, raw_path, escaped))),
+            store.keep("aggregated", readers.read_aggregated(spark, aggregated_path, escaped)))
 
 
 def publish_text(raw: DataFrame, aggregated: DataFrame, folder: str) -> None:

@@ -4,7 +4,7 @@ character inside a review can never swallow the following tabs."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ratingloom.sources import schemas
 
@@ -20,13 +20,19 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_tsv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Fields by position, cast to the schema's types; null where a field is missing, written as
-    ``\\N`` or no number. Escapes are those of ``writers.write_tsv``; quotes mean nothing."""
-    fields = F.split("value", "\t", -1)
+def read_tsv(spark: SparkSession, path: str, schema: StructType, escaped: bool) -> DataFrame:
+    """Fields by position, cast to the schema's types; null where a field is missing or no number. Quotes mean
+    nothing.
+
+    ``escaped`` tables are those of ``writers.write_tsv``: backslash sequences are undone and ``\\N`` is null.
+    In plain ones a backslash is a backslash, and a carriage return at the end of a line belongs to its end.
+    """
+    fields = F.split("value" if escaped else F.regexp_replace("value", r"\r\z", ""), "\t", -1)
 
     def value(i: int):
         field = F.get(fields, F.lit(i))
+        if not escaped:
+            return field
         plain = F.transform(F.split(field, r"\\\\", -1), lambda part: F.replace(F.replace(F.replace(
             part, F.lit("\\t"), F.lit("\t")), F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
         return F.when(field != "\\N", F.array_join(plain, "\\"))
@@ -35,21 +41,47 @@ def read_tsv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         *[value(i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return read_tsv(spark, path, schemas.RAW)
+def read_raw(spark: SparkSession, path: str, escaped: bool) -> DataFrame:
+    return read_tsv(spark, path, schemas.RAW, escaped)
 
 
-def read_aggregated(spark: SparkSession, path: str) -> DataFrame:
-    return read_tsv(spark, path, schemas.AGGREGATED)
+def read_aggregated(spark: SparkSession, path: str, escaped: bool) -> DataFrame:
+    return read_tsv(spark, path, schemas.AGGREGATED, escaped)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """One JSON object per line; malformed lines are skipped."""
+    """One JSON object per line; malformed lines are skipped. ``judge_json_lines`` tells which and why."""
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
 
+def judge_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Every line that is not blank: the schema's columns, ``file``, ``reject_reason`` (null: kept) and, of rejected
+    lines, ``value``.
+
+    Reasons: ``not_json`` (no JSON value), ``no_object`` (another value than an object), ``bad_field`` (a field
+    that the schema's type cannot hold). Fields that are missing are null, others are not read. One pass over
+    the lines.
+    """
+    whole = StructType([*schema.fields, StructField("_bad", StringType())])
+    lines = (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+             .where(F.trim("value") != ""))
+    seen = lines.select("*", F.from_json("value", whole, {"columnNameOfCorruptRecord": "_bad"}).alias("row"),
+                        F.schema_of_variant(F.try_parse_json("value")).alias("shape"))
+    reason = (F.when(F.col("shape").isNull(), "not_json").when(~F.col("shape").startswith("OBJECT"), "no_object")
+              .when(F.col("row._bad").isNotNull(), "bad_field"))
+    kept = reason.isNull()
+    return seen.select(*[F.when(kept, F.col("row")[f.name]).alias(f.name) for f in schema.fields], "file",
+                       reason.alias("reject_reason"), F.when(~kept, F.col("value")).alias("value"))
+
+
+def json_rejects(judged: DataFrame) -> DataFrame:
+    """How many lines of each file were rejected, by reason; a file without any has no row."""
+    return (judged.where("reject_reason IS NOT NULL").groupBy("file", "reject_reason")
+            .agg(F.count("*").alias("lines")))
+
+
 def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A file that holds one JSON array. Such a file cannot be split; use lines for big tables."""
+    """Files that each hold one JSON array. Each is one task; ``jobs`` publishes lines, which split."""
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
@@ -75,7 +107,8 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """Features of GeoJSON documents (whole collections) as ``region`` and its outer ``ring``s."""
+    """Features of GeoJSON documents (whole collections) as ``region`` and its outer ``ring``s. Each file
+    is one task; ``parse_features`` reads the same features from lines, which split."""
     doc = spark.read.schema(
         schemas.T.StructType([schemas.T.StructField("features", schemas.T.ArrayType(schemas.FEATURE))])
     ).option("multiLine", True).json(path)

@@ -3,7 +3,7 @@
 import pytest
 
 from ratingloom.operators import cleaning, joins
-from ratingloom.sources import readers, writers
+from ratingloom.sources import readers, schemas, writers
 
 GOOD = ["b1", "Bar", "1 Street", "Town", "TX", "08033", "30.5", "-97.5", "4.0", "12", "1", "x",
         "Seafood, Bar", "{'Monday': '8:0-17:0'}"]
@@ -87,7 +87,7 @@ def test_trailing_columns_keep_quotes_and_zeros(spark, tmp_path):
     from ratingloom.sources import schemas
     table = spark.createDataFrame(rows, schemas.RAW)
     writers.write_tsv(table, str(tmp_path / "t"))
-    assert sorted(readers.read_raw(spark, str(tmp_path / "t")).collect()) == sorted(table.collect())
+    assert sorted(readers.read_raw(spark, str(tmp_path / "t"), escaped=True).collect()) == sorted(table.collect())
 
 
 PLACES = "business_id string, name string, city string, review_count int"
@@ -108,3 +108,22 @@ def test_joined_tables_agree(spark):
     rows = {r.business_id: r.asDict() for r in joins.join_aggregated(business, reviews).collect()}
     assert rows["b"]["total"] == 3 and rows["b"]["star5"] == 1 and rows["b"]["star4"] == 1
     assert rows["c"]["total"] == 0 and set(rows) == {"b", "c"}
+
+
+def test_plain_text_tables_are_read_as_they_are(spark, tmp_path):
+    (tmp_path / "t").write_bytes(b"b1\tC:\\new\\temp\t5\r\nb2\t\\N\t6\nb3\t\"q\t\r\n\r\nb4")
+    schema = schemas.struct("id:s text:s n:i")
+    rows = [tuple(r) for r in readers.read_tsv(spark, str(tmp_path / "t"), schema, escaped=False).collect()]
+    assert rows == [("b1", "C:\\new\\temp", 5), ("b2", "\\N", 6), ("b3", '"q', None), ("", None, None), ("b4", None, None)]
+
+
+def test_json_lines_are_judged(spark, tmp_path):
+    (tmp_path / "a").write_text('{"k": 1, "t": "x"}\n\n{"k": "y"}\n{"k": 2\n[1]\n7\n"s"\nnull\n{}\n{"t": null, "z": [1]}\n')
+    (tmp_path / "b").write_text("broken\n")
+    judged = readers.judge_json_lines(spark, str(tmp_path), schemas.struct("k:i t:s"))
+    rows = {(r["value"], r["reject_reason"]) for r in judged.collect() if r["reject_reason"]}
+    assert rows == {('{"k": "y"}', "bad_field"), ('{"k": 2', "not_json"), ("[1]", "no_object"), ("7", "no_object"),
+                    ('"s"', "no_object"), ("null", "no_object"), ("broken", "not_json")}
+    assert {(r["k"], r["t"]) for r in judged.where("reject_reason IS NULL").collect()} == {(1, "x"), (None, None)}
+    counts = {(r["file"].rsplit("/", 1)[1], r["reject_reason"]): r["lines"] for r in readers.json_rejects(judged).collect()}
+    assert counts["b", "not_json"] == 1 and counts["a", "no_object"] == 4

@@ -54,7 +54,7 @@ def test_run_all(spark, tmp_path):
     # The same tables published as text lead to the same figures.
     jobs.publish_text(raw, spark.read.parquet(str(out / "aggregated")), str(out / "text"))
     again, aggregated = jobs.stage_text(spark, str(out / "text" / "raw"), str(out / "text" / "aggregated"),
-                                        str(tmp_path / "again"))
+                                        str(tmp_path / "again"), escaped=True)
     assert again.count() == 97 and again.select("row_id").distinct().count() == 97
     assert aggregated.select(F.sum("total")).first()[0] == 97
     assert json.loads(aggregated.orderBy("business_id").toJSON().first())["postal"].startswith("0")
