@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ratingloom.functions.dates import label_parts
 from ratingloom.operators import trends
-from ratingloom.plans import bindings as b
+from ratingloom.plans import bindings as b, business_store as bs
 from ratingloom.plans.trend_store import TrendStore
 from ratingloom.session import scratch_folder
 
@@ -67,6 +67,30 @@ def merged_spikes(spark, d):
     return _merged(spark, d).series().withColumn("spike_or_dip", flag).where(flag.isNotNull())
 
 
+def _store(spark, d) -> bs.BusinessStore:
+    raw = b.dated(spark, d)
+    store = bs.BusinessStore(spark, scratch_folder(spark, "by-business"), raw, buckets=16)
+    store.keep("raw", raw)
+    store.keep("places", b.biz(spark, d))
+    return store
+
+
+def bucketed_trends(spark, d):
+    return _store(spark, d).made(bs.monthly_trends, "raw", "places")
+
+
+def bucketed_spike_reviews(spark, d):
+    """The trend table is kept in the same layout, and the reviews of its flagged months are counted."""
+    store = _store(spark, d)
+    store.keep("flagged", store.made(lambda raw: trends.spikes_dips(trends.monthly_ratings(raw)), "raw"))
+    found = store.made(bs.spike_reviews, "raw", "flagged")
+    return found.groupBy("business_id", "year", "month", "review_text").agg(F.count("*").alias("reviews"))
+
+
+def bucketed_profiles(spark, d):
+    return _store(spark, d).made(bs.profiles, "raw", "places")
+
+
 SERIES = [b.REV, b.MONTHLY]
 FLAGS = [*SERIES, b.CHANGES, b.FLAGGED]
 FLAG_COLUMNS = ("business_id, year, month, monthly_avg_rating, monthly_rating_std, review_volume, "
@@ -80,6 +104,17 @@ SELECT monthly.*, name, address, city, state, postal FROM monthly JOIN biz USING
 SELECT quarterly.*, name, city, state, postal FROM quarterly JOIN biz USING (business_id)""")),
     "merged_series": (merged_series, b.with_views([*SERIES, b.CHANGES], f"SELECT {FLAG_COLUMNS} FROM changes")),
     "merged_spikes": (merged_spikes, b.with_views(FLAGS, f"SELECT {FLAG_COLUMNS}, spike_or_dip FROM flagged")),
+    "bucketed_trends": (bucketed_trends, b.with_views([*SERIES, b.CHANGES, b.BIZ], f"""
+SELECT {FLAG_COLUMNS}, CASE WHEN rating_diff > 1e0 THEN 'spike' WHEN rating_diff < -1e0 THEN 'dip' END AS spike_or_dip,
+  name, address, city, state, postal FROM changes JOIN biz USING (business_id)""")),
+    "bucketed_spike_reviews": (bucketed_spike_reviews, b.with_views(FLAGS, """
+SELECT business_id, year, month, review_text, count(*) AS reviews
+FROM rev JOIN (SELECT business_id, year, month FROM flagged) USING (business_id, year, month) GROUP BY ALL""")),
+    "bucketed_profiles": (bucketed_profiles, b.with_views([b.REV, b.BIZ], f"""
+SELECT business_id, name, city, reviews, avg_rating, first_month, last_month FROM biz LEFT JOIN (
+  SELECT business_id, count(*) AS reviews, {b.rounded('avg(stars)', 2)} AS avg_rating,
+    min(year * 100 + month) AS first_month, max(year * 100 + month) AS last_month FROM rev GROUP BY business_id)
+  USING (business_id)""")),
     "month_over_month": (month_over_month, b.with_views([*SERIES, b.CHANGES],
                                                         f"SELECT {FLAG_COLUMNS} FROM changes")),
     "spikes_dips": (spikes_dips, b.with_views([*FLAGS, b.BIZ], f"""
