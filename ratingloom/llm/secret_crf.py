@@ -47,6 +47,11 @@ MEMO = 1_000_000
 BLOCK = 1 << 16
 # Offsets of the neighbours whose words and shapes are features.
 AROUND = (-1, -2, -3, 1)
+# What stands before secrets whose cue is hidden.
+PLAIN_WORDS = "entry item field line note value".split()
+PHRASES = ["client key is", "Authorization: Bearer", "signing key:", "auth header", "private key =", "credential is",
+           "session id:", "license key is"]
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 KNOWN = 5
 WIDTH = 8 + 2 * len(AROUND) + 4  # most features of a token: its own, its neighbours', the text's
 
@@ -67,9 +72,10 @@ def shape(token: str) -> str:
 
 
 def kind_of(token: str) -> tuple:
-    """What a token's features depend on, besides its word: for plain words only case and length."""
+    """What a token's features depend on, besides its word: for plain words only case and length. A word of
+    letters in one case, or with a capital first, is plain however long."""
     n = len(token)
-    if n < 16 and token.isalpha():
+    if token.isalpha() and (n < 16 or token.islower() or token.isupper() or token.istitle()):
         case = "a" if token.islower() else "A" if token.isupper() else "Aa" if token.istitle() else "aA"
         return case, n.bit_length()
     head = token[:64]
@@ -213,11 +219,73 @@ def tokens_of(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in TOKEN.finditer(text)]
 
 
-def silver_tags(text: str, spans: list[tuple[int, int]]) -> np.ndarray:
-    """Tags from the base spans; of an assignment, only the value is the secret."""
-    tags = np.full(len(spans), OUTSIDE)
+def secret_values(text: str) -> list[tuple[int, int]]:
+    """Where the patterns' secrets are; of an assignment, only the value is the secret."""
     values = [m.span(2) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
-    values += [(s, e) for s, kind, e in base_spans(text) if kind]
+    return sorted(values + [(s, e) for s, kind, e in base_spans(text) if kind])
+
+
+def made_up(seed: int) -> str:
+    """A value unlike the patterns': letters of both cases and digits, some with the signs of base64 or hyphens."""
+    signs = LETTERS + ("", "+/", "-_")[seed % 3]
+    size, state, out = 24 + seed // 3 % 25, seed, []
+    for _ in range(size):
+        state = (state * 6364136223846793005 + 1442695040888963407) % 2**64
+        out.append(signs[(state >> 33) % len(signs)])
+    return "".join(out) + "=" * (seed // 75 % 3 if seed % 3 == 1 else 0)
+
+
+def disguised(text: str) -> tuple[str, list[tuple[int, int]]]:
+    """The text with the cues of half its secrets hidden, and where the secrets are then.
+
+    Which and how, a hash decides: the key word gives way to a plain one, or the value to a made-up one behind a
+    phrase that the patterns do not know, or to a made-up one with no cue at all. So the field learns from shape and
+    neighbours what the patterns know by heart.
+    """
+    keys = {m.span(2): m.start() for m in ASSIGN.finditer(text)}
+    out, values, upto, size = [], [], 0, 0
+
+    def put(part: str) -> None:
+        nonlocal size
+        out.append(part)
+        size += len(part)
+
+    for start, end in secret_values(text):
+        begin = keys.get((start, end), start)
+        if begin < upto:
+            continue
+        draw = crc32(f"{begin}:{text[begin:end]}".encode("utf-8", "surrogatepass"))
+        put(text[upto:begin])
+        way, seed = draw % 6, draw // 6
+        cue, value = text[begin:start], text[start:end]
+        if way == 3:
+            cue = f"{PLAIN_WORDS[seed % len(PLAIN_WORDS)]} = " if begin < start else ""
+        elif way > 3:
+            cue, value = (f"{PHRASES[seed % len(PHRASES)]} " if way == 4 else ""), made_up(seed)
+        put(cue)
+        values.append((size, size + len(value)))
+        put(value)
+        upto = end
+    put(text[upto:])
+    return "".join(out), values
+
+
+def planted(text: str) -> tuple[str, list[tuple[int, int]]]:
+    """A text without secrets, with a made-up one put into every other such text, behind a phrase or none, at a
+    blank that a hash draws. So a text's own properties do not tell whether it holds one."""
+    draw = crc32(text.encode("utf-8", "surrogatepass"))
+    blanks = [m.start() for m in re.finditer(r"\s", text)]
+    if draw % 2 or not blanks:
+        return text, []
+    seed = draw // 2
+    at = blanks[seed % len(blanks)] + 1
+    cue, value = f"{PHRASES[seed // 7 % len(PHRASES)]} " if seed % 3 else "", made_up(seed)
+    return f"{text[:at]}{cue}{value} {text[at:]}", [(at + len(cue), at + len(cue) + len(value))]
+
+
+def silver_tags(values: list[tuple[int, int]], spans: list[tuple[int, int]]) -> np.ndarray:
+    """Tags of tokens from the places of secrets."""
+    tags = np.full(len(spans), OUTSIDE)
     begins = np.array([s for s, _ in spans] or [0])
     for s, e in sorted(values):
         i = int(np.searchsorted(begins, s, "right")) - 1
@@ -237,8 +305,9 @@ def examples(texts: list[str], window: int = WINDOW) -> tuple[list[tuple[np.ndar
     that all parts of texts count. ``features`` is tokens x features, -1 where there is none."""
     stretches, seen = [], Counter()
     for text in texts:
+        text, values = disguised(text) if secret_values(text) else planted(text)
         spans = tokens_of(text)
-        words, tags = [text[s:e] for s, e in spans], silver_tags(text, spans)
+        words, tags = [text[s:e] for s, e in spans], silver_tags(values, spans)
         marked = np.flatnonzero(tags != OUTSIDE)
         near = np.zeros(len(words), bool)
         for i in marked:
