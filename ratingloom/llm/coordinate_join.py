@@ -160,30 +160,39 @@ def across_classes(lists: DataFrame, sets: DataFrame, found: DataFrame, long_lis
                    full: DataFrame, matches: int, percent: int, block: int) -> DataFrame:
     """Links (a, b) among members of a long list that are in different classes.
 
-    In each list the members outside its largest class are dealt into blocks, and every block meets
-    all members in blocks. A task holds the signatures and sets of two blocks: it counts collisions,
-    confirms the pairs that have enough on the sets, and emits of a member's links into one class
-    one, which is all that classes need.
+    The members outside a list's largest class, if that has more than one, are dealt into blocks. Each pair
+    of blocks is a task, and each block meets the largest class in blocks; so two members meet once in a
+    list. A task holds the signatures and sets of two blocks: it counts collisions, confirms the pairs that
+    have enough on the sets, and emits of a member's links into one class one, which is all that classes need.
     """
     labelled = (lists.join(long_lists.select("key", "n"), "key").join(found, "node", "left")
                 .withColumn("label", F.coalesce("component", "node")).drop("component"))
+    mains = F.when(F.col("m") > 1, F.col("m")).otherwise(0)
     parts = (labelled.groupBy("key", "n", "label").agg(F.count("*").alias("m"))
              .groupBy("key", "n").agg(F.max_by("label", F.struct("m", "label")).alias("main"),
                                       F.max("m").alias("m")).where("m < n")
-             .select("key", "main", F.ceil((F.col("n") - F.col("m")) / block).cast("int").alias("few"),
-                     F.ceil(F.col("n") / block).cast("int").alias("all")))
+             .select("key", F.when(F.col("m") > 1, F.col("main")).alias("main"),
+                     F.ceil((F.col("n") - mains) / block).cast("int").alias("few"),
+                     F.ceil(mains / block).cast("int").alias("mains")))
     rows = (labelled.drop("n").join(parts, "key").join(sets.select("node", "keys"), "node")
             .join(full, "node"))
     at = F.xxhash64("node", "key")
-    right = rows.select("*", F.lit(False).alias("left"),
-                        F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"),
-                        F.pmod(at, F.col("all")).cast("int").alias("j"))
-    left = rows.where(F.col("label") != F.col("main")).select(
-        "*", F.lit(True).alias("left"), F.pmod(at, F.col("few")).cast("int").alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("j"))
+    is_main = F.col("label").eqNullSafe(F.col("main"))
+    own = rows.where(~is_main).withColumn("own", F.pmod(at, F.col("few")).cast("int"))
+    among = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("few") - 1))).select(
+        "*", F.lit(True).alias("among"), (F.col("own") <= F.col("other")).alias("left"),
+        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).drop("own", "other")
+    left = own.where("mains > 0").select(
+        "*", F.lit(False).alias("among"), F.lit(True).alias("left"), F.col("own").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("mains") - 1)).alias("j")).drop("own")
+    right = rows.where(is_main).select(
+        "*", F.lit(False).alias("among"), F.lit(False).alias("left"),
+        F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"),
+        F.pmod(at, F.col("mains")).cast("int").alias("j"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        one, two = group[group["left"]], group[~group["left"]]
+        inside = bool(group["among"].iloc[0]) and group["i"].iloc[0] == group["j"].iloc[0]
+        one, two = (group, group) if inside else (group[group["left"]], group[~group["left"]])
         if one.empty or two.empty:
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         keys, pos, links = np.stack(two["keys"].to_list()), int(group["pos"].iloc[0]), []
@@ -191,26 +200,27 @@ def across_classes(lists: DataFrame, sets: DataFrame, found: DataFrame, long_lis
         others = [x.view(np.uint64) for x in two["shingles"]]
         sizes = np.array([len(x) for x in others])
         bits = np.int64(1) << np.arange(keys.shape[1], dtype=np.int64)
-        for node, label, prefix, mine, own in zip(*(one[c] for c in ("node", "label", "prefix", "keys",
-                                                                     "shingles"))):
-            own, same = own.view(np.uint64), keys == mine
-            both = same & ((masks & prefix)[:, None] & bits != 0)
-            near = np.flatnonzero(
-                (same.sum(axis=1) >= matches) & (labels != label) & (both.argmax(axis=1) == pos)
-                & (100 * np.minimum(sizes, len(own)) >= percent * np.maximum(sizes, len(own))))
+        for at, (node, label, prefix, mine, own) in enumerate(zip(*(one[c] for c in (
+                "node", "label", "prefix", "keys", "shingles")))):
+            first = at + 1 if inside else 0  # a block meets itself in pairs, not twice
+            own, same = own.view(np.uint64), keys[first:] == mine
+            both = same & ((masks[first:] & prefix)[:, None] & bits != 0)
+            near = first + np.flatnonzero(
+                (same.sum(axis=1) >= matches) & (labels[first:] != label) & (both.argmax(axis=1) == pos)
+                & (100 * np.minimum(sizes[first:], len(own)) >= percent * np.maximum(sizes[first:], len(own))))
             if not len(near):
                 continue
             theirs = np.concatenate([others[k] for k in near])
             hit = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
             common = np.add.reduceat(hit, np.cumsum(sizes[near]) - sizes[near], dtype=np.int64)
             linked = near[100 * common >= percent * (len(own) + sizes[near] - common)]
-            _, first = np.unique(labels[linked], return_index=True)
-            links += [(max(node, x), min(node, x)) for x in nodes[linked[first]]]
+            _, least = np.unique(labels[linked], return_index=True)
+            links += [(max(node, x), min(node, x)) for x in nodes[linked[least]]]
         return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
-    return (left.union(right).select("key", "pos", "node", "prefix", "label", "left", "i", "j", "keys",
-                                     "shingles")
-            .groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct())
+    names = ["key", "pos", "node", "prefix", "label", "among", "left", "i", "j", "keys", "shingles"]
+    return (among.select(names).union(left.select(names)).union(right.select(names))
+            .groupBy("key", "among", "i", "j").applyInPandas(compare, "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,

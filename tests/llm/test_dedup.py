@@ -99,6 +99,42 @@ def test_near_query_equals_all_pairs(spark):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
 
 
+def test_near_query_finds_every_link_of_a_thousand_documents(spark):
+    """All pairs that share a shingle, counted by shingle."""
+    folder = "/root/testdata/sf0.01"
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    sets, holders, common, parent = {}, collections.defaultdict(list), collections.Counter(), {}
+    for i in sorted(docs):
+        words = (docs[i] or "").encode().lower().split()
+        n = min(2, len(words))
+        sets[i] = {tuple(words[j:j + n]) for j in range(len(words) - n + 1)} if words else set()
+        for shingle in sets[i]:
+            common.update((other, i) for other in holders[shingle])
+            holders[shingle].append(i)
+
+    def root(i):
+        while parent.setdefault(i, i) != i:
+            i = parent[i]
+        return i
+
+    for (a, b), both in common.items():
+        if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    found = queries()["op10_coordinate_join"](spark, folder).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: root(i) for i in docs}
+
+
+def test_unlinked_texts_that_share_most_words(spark):
+    """Long lists without any link: members meet once a list, and no class is made."""
+    base = messy.prose(50, 200)
+    rows = [(i, f"{base} {messy.prose(1000 + i, 60)}", "a") for i in range(150)]
+    found = coordinate_join.near_duplicates(messy.documents(spark, rows), words=2, block=16).collect()
+    wanted = linked({i: t for i, t, _ in rows}, 2, 80)
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: c for i, (_, c) in wanted.items()}
+    assert len({c for _, c in wanted.values()}) == 150
+
+
 def test_near_on_messy_rows(spark):
     found = coordinate_join.near_duplicates(messy.documents(spark), words=2).collect()
     assert len(found) == len(messy.ROWS)
