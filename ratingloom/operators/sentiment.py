@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import string
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ratingloom.functions import text as tx, wordlists as wl
@@ -15,8 +13,6 @@ COMPOUND_LIMIT = 0.05
 GOOD_STARS = 4.0
 MIDDLE_STARS = 3.0
 LOOK_BACK = 3
-# A lexicon of at most this many words is searched for inside the texts.
-LISTED_WORDS = 20_000
 
 
 def sentiment_label(compound: Column | str) -> Column:
@@ -71,48 +67,29 @@ def _bare(word: Column) -> Column:
     return F.regexp_replace(word, f"^(?:(?:{marks}){plain}|{plain}(?:{marks}))$", "$1$2")
 
 
-def _may_be(word: Column, listed: list[str]) -> Column:
-    """Whether the lower-case word, or what ``_bare`` may leave of it, is listed. Trimming is slow, so
-    only words with punctuation at an end are trimmed."""
-    edged = word.rlike(r"^\p{Punct}|\p{Punct}$")
-    return F.lower(word).isin(listed) | (
-        edged & F.lower(F.btrim(word, F.lit(string.punctuation))).isin(listed))
-
-
-def _in_context(df: DataFrame, key: str, text: str, carry: list[str],
-                listed: list[str] | None) -> DataFrame:
-    """The words that may have a valence, each with its three predecessors and two successors ('' past
-    the ends), and for every text one row without a word (position -1).
-
-    ``listed`` words are found in place, so that only they leave the text; None takes every word.
-    """
+def _in_context(df: DataFrame, key: str, text: str, carry: list[str]) -> DataFrame:
+    """Every word with its three predecessors and two successors ('' past the ends), and for every text one
+    row without a word (position -1). Each word is trimmed once, where it stands in its text."""
     split = F.filter(F.split(text, r"(?U)\s+"), lambda w: F.length(w) > 1)
-    docs = df.select(key, *carry, F.col(text).alias("_text"), split.alias("_words"))
+    edged = r"^\p{Punct}|\p{Punct}$"
+    docs = df.select(key, *carry, F.col(text).alias("_text"), split.alias("_raw"))
+    docs = docs.withColumn("_words", F.transform("_raw", lambda w: F.when(w.rlike(edged), _bare(w)).otherwise(w)))
     size = F.size("_words")
     places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
-
-    def at(i: Column) -> Column:
-        return F.get("_words", i)
-
-    def is_but(i: Column) -> Column:
-        short = F.length(at(i)) <= len("but") + max(len(mark) for mark in wl.PUNCTUATION)
-        return short & _may_be(at(i), ["but"]) & (F.lower(_bare(at(i))) == "but")
-
     offsets = {"w": 0, "p1": -1, "p2": -2, "p3": -3, "n1": 1, "n2": 2}
-    hits = places if listed is None else F.filter(places, lambda i: _may_be(at(i), listed))
+    but = F.array_position(F.transform("_words", F.lower), "but").cast("int")
     docs = docs.select(
-        key, *carry,
-        F.when(F.lower("_text").contains("but"), F.get(F.filter(places, is_but), F.lit(0)))
-        .alias("_but"),
-        F.size(F.filter("_words", _shouted)).between(1, size - 1).alias("_mixed_caps"),
+        key, *carry, "_words",
+        F.when(F.lower("_text").contains("but") & (but > 0), but - 1).alias("_but"),
+        F.size(F.filter("_raw", _shouted)).between(1, size - 1).alias("_mixed_caps"),
         (F.length("_text") - F.length(F.replace("_text", F.lit("!")))).alias("_exclaims"),
         (F.length("_text") - F.length(F.replace("_text", F.lit("?")))).alias("_asks"),
-        F.transform(F.concat(F.array(F.lit(-1)), hits), lambda i: F.struct(
-            i.alias("i"), *[at(i + n).alias(c) for c, n in offsets.items()])).alias("_hits"))
+        F.transform(F.concat(F.array(F.lit(-1)), places), lambda i: F.struct(
+            i.alias("i"), *[F.coalesce(F.get("_words", i + n), F.lit("")).alias(c) for c, n in offsets.items()]))
+        .alias("_hits")).drop("_words")
     # Outer, as a plain explode of a column filters on its size, below all this, by computing it twice.
     rows = docs.select("*", F.explode_outer("_hits").alias("_h")).drop("_hits")
-    words = [F.coalesce(_bare(F.col("_h")[c]), F.lit("")).alias(c) for c in offsets]
-    return rows.select("*", F.col("_h")["i"].alias("_i"), *words).drop("_h")
+    return rows.select("*", F.col("_h")["i"].alias("_i"), *[F.col("_h")[c].alias(c) for c in offsets]).drop("_h")
 
 
 def rule_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame,
@@ -122,10 +99,7 @@ def rule_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame,
     All look-ups happen next to the words, in one stage; only one row per text is shuffled.
     """
     small = is_small(lexicon)
-    # A short list also goes into the search for places, which then yields fewer rows to look up.
-    few = lexicon.select("word").distinct().limit(LISTED_WORDS + 1).collect() if small else None
-    listed = [r.word for r in few] if small and len(few) <= LISTED_WORDS else None
-    rows = _in_context(df, key, text, carry, listed).withColumn("word", F.lower("w"))
+    rows = _in_context(df, key, text, carry).withColumn("word", F.lower("w"))
     rows = lookup_join(rows, lexicon, ["word"], "left", small)
     boosters = wl.INTENSIFIERS + wl.DAMPENERS
     muted = F.col("word").isin(boosters) | ((F.col("word") == "kind") & (F.lower("n1") == "of"))

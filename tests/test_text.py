@@ -107,9 +107,10 @@ SENTENCES = [
 ]
 
 
-@pytest.mark.parametrize("listed", [20_000, 3])
-def test_rules_by_brute_force(spark, lexicon, listed, monkeypatch):
-    monkeypatch.setattr(sentiment, "LISTED_WORDS", listed)
+@pytest.mark.parametrize("small", [True, False])
+def test_rules_by_brute_force(spark, lexicon, small, monkeypatch):
+    """A lexicon that may be sent, and one that has to be joined."""
+    monkeypatch.setattr(sentiment, "is_small", lambda _: small)
     rng = random.Random(5)
     pool = (list(LEXICON) + ["very", "not", "never", "so", "this", "but", "least", "at", "kind", "of", "the",
                              "bomb", "isn't", "really", "barely", "food", "yeah", "right", "just", "enough"])
