@@ -56,6 +56,12 @@ class BusinessStore:
         rest = make(*[self.bucketed(n) for n in names])
         return rest.unionByName(make(*[self.apart(n) for n in names])) if self.hot else rest
 
+    def of(self, name: str, business_id) -> DataFrame:
+        """The rows of one business: one bucket is read, in which its rows stand together, or, if it is hot, the
+        files kept apart."""
+        one = self.bucketed(name).where(F.col(KEY) == business_id)
+        return one.unionByName(self.apart(name).where(F.col(KEY) == business_id)) if self.hot else one
+
     def close(self) -> None:
         """Takes the tables out of the catalog; the files stay."""
         for name in self.names:

@@ -91,6 +91,12 @@ def bucketed_profiles(spark, d):
     return _store(spark, d).made(bs.profiles, "raw", "places")
 
 
+def bucketed_series(spark, d):
+    """The chart of one business from its bucket alone."""
+    raw = _store(spark, d).of("raw", "7")
+    return trends.rating_series(trends.monthly_ratings(raw), "month")
+
+
 SERIES = [b.REV, b.MONTHLY]
 FLAGS = [*SERIES, b.CHANGES, b.FLAGGED]
 FLAG_COLUMNS = ("business_id, year, month, monthly_avg_rating, monthly_rating_std, review_volume, "
@@ -115,6 +121,9 @@ SELECT business_id, name, city, reviews, avg_rating, first_month, last_month FRO
   SELECT business_id, count(*) AS reviews, {b.rounded('avg(stars)', 2)} AS avg_rating,
     min(year * 100 + month) AS first_month, max(year * 100 + month) AS last_month FROM rev GROUP BY business_id)
   USING (business_id)""")),
+    "bucketed_series": (bucketed_series, b.with_views(SERIES, f"""
+SELECT business_id, CAST(year AS VARCHAR) || '-' || lpad(CAST(month AS VARCHAR), 2, '0') AS label,
+  monthly_avg_rating AS rating, {TWO_DIGITS} AS rating_text FROM monthly WHERE business_id = '7'""")),
     "month_over_month": (month_over_month, b.with_views([*SERIES, b.CHANGES],
                                                         f"SELECT {FLAG_COLUMNS} FROM changes")),
     "spikes_dips": (spikes_dips, b.with_views([*FLAGS, b.BIZ], f"""

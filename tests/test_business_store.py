@@ -65,3 +65,18 @@ def test_empty_tables(spark, tables, tmp_path):
     store = stored(spark, [t.limit(0) for t in tables], tmp_path, 4)
     assert store.made(bs.monthly_trends, "raw", "places").count() == 0
     store.close()
+
+
+def test_one_business_reads_one_bucket(spark, tables, tmp_path):
+    store = stored(spark, tables, tmp_path, 8)
+    found = store.of("raw", "b7")
+    # The plan names the buckets only where it keeps their layout, which it need not for a filter.
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    try:
+        shown = store.of("raw", "b7")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    assert "SelectedBucketsCount: 1 out of 8" in shown
+    assert compare.spark_rows(found) == compare.spark_rows(tables[0].where("business_id = 'b7'"))
+    assert compare.spark_rows(store.of("raw", "hot")) == compare.spark_rows(tables[0].where("business_id = 'hot'"))
+    store.close()
