@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ratingloom.llm.components import components
 from ratingloom.llm.shared import join_counted, row_hash, written
@@ -165,8 +165,8 @@ def across_classes(lists: DataFrame, sets: DataFrame, found: DataFrame, long_lis
     list. A task holds the signatures and sets of two blocks: it counts collisions, confirms the pairs that
     have enough on the sets, and emits of a member's links into one class one, which is all that classes need.
     """
-    labelled = (lists.join(long_lists.select("key", "n"), "key").join(found, "node", "left")
-                .withColumn("label", F.coalesce("component", "node")).drop("component"))
+    labelled = written(lists.join(long_lists.select("key", "n"), "key").join(found, "node", "left")
+                       .withColumn("label", F.coalesce("component", "node")).drop("component"), "long-lists")
     mains = F.when(F.col("m") > 1, F.col("m")).otherwise(0)
     parts = (labelled.groupBy("key", "n", "label").agg(F.count("*").alias("m"))
              .groupBy("key", "n").agg(F.max_by("label", F.struct("m", "label")).alias("main"),
@@ -177,18 +177,18 @@ def across_classes(lists: DataFrame, sets: DataFrame, found: DataFrame, long_lis
     rows = (labelled.drop("n").join(parts, "key").join(sets.select("node", "keys"), "node")
             .join(full, "node"))
     at = F.xxhash64("node", "key")
-    is_main = F.col("label").eqNullSafe(F.col("main"))
-    own = rows.where(~is_main).withColumn("own", F.pmod(at, F.col("few")).cast("int"))
-    among = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("few") - 1))).select(
-        "*", F.lit(True).alias("among"), (F.col("own") <= F.col("other")).alias("left"),
-        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).drop("own", "other")
-    left = own.where("mains > 0").select(
-        "*", F.lit(False).alias("among"), F.lit(True).alias("left"), F.col("own").alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("mains") - 1)).alias("j")).drop("own")
-    right = rows.where(is_main).select(
-        "*", F.lit(False).alias("among"), F.lit(False).alias("left"),
-        F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"),
-        F.pmod(at, F.col("mains")).cast("int").alias("j"))
+    own = F.pmod(at, F.col("few")).cast("int")
+    place = F.pmod(at, F.greatest("mains", F.lit(1))).cast("int")
+
+    def role(among: bool, left: Column | bool, i: Column, j: Column) -> Column:
+        return F.struct(F.lit(among).alias("among"), (F.lit(left) if isinstance(left, bool) else left).alias("left"),
+                        i.alias("i"), j.alias("j"))
+
+    blocks = F.sequence(F.lit(0), F.col("few") - 1)
+    others = F.transform(blocks, lambda b: role(True, own <= b, F.least(own, b), F.greatest(own, b)))
+    towards = F.transform(F.sequence(F.lit(0), F.greatest("mains", F.lit(1)) - 1), lambda b: role(False, True, own, b))
+    roles = (F.when(F.col("label").eqNullSafe(F.col("main")), F.transform(blocks, lambda b: role(False, False, b, place)))
+             .when(F.col("mains") > 0, F.concat(others, towards)).otherwise(others))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         inside = bool(group["among"].iloc[0]) and group["i"].iloc[0] == group["j"].iloc[0]
@@ -218,8 +218,8 @@ def across_classes(lists: DataFrame, sets: DataFrame, found: DataFrame, long_lis
             links += [(max(node, x), min(node, x)) for x in nodes[linked[least]]]
         return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
-    names = ["key", "pos", "node", "prefix", "label", "among", "left", "i", "j", "keys", "shingles"]
-    return (among.select(names).union(left.select(names)).union(right.select(names))
+    return (rows.select("key", "pos", "node", "prefix", "label", "keys", "shingles", F.explode(roles).alias("role"))
+            .select("key", "pos", "node", "prefix", "label", "role.*", "keys", "shingles")
             .groupBy("key", "among", "i", "j").applyInPandas(compare, "a long, b long").distinct())
 
 
