@@ -63,7 +63,7 @@ def test_bound_never_falls_and_settled_months_leave(reviews):
 
 
 def test_subjects_are_told_apart(reviews):
-    top, _ = fitted(reviews, k=2, terms=4, passes=25, settled=1e-7, alpha=0.1, eta=0.1)
+    top, _ = fitted(reviews, k=2, terms=4, passes=16, settled=1e-7, alpha=0.1, eta=0.1)
     topics = defaultdict(set)
     for r in top.where("business_id = 'a'").collect():
         topics[r["topic"]].add(r["term"])
