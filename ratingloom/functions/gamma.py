@@ -1,4 +1,5 @@
-"""The gamma function's logarithm and its derivative, as expressions for positive numbers."""
+"""The gamma function's logarithm and its derivative for positive numbers: as column expressions, or of arrays with
+``ln`` for arrays."""
 
 from __future__ import annotations
 
@@ -12,16 +13,16 @@ SHIFT = 6
 HALF_LOG_TWO_PI = 0.5 * math.log(2 * math.pi)
 
 
-def digamma(x: Column) -> Column:
+def digamma(x: Column, ln=F.ln) -> Column:
     y = x + SHIFT
     square = y * y
-    series = F.ln(y) - 1 / (2 * y) - (1 / square) * (1 / 12 - (1 / square) * (1 / 120 - 1 / (252 * square)))
+    series = ln(y) - 1 / (2 * y) - (1 / square) * (1 / 12 - (1 / square) * (1 / 120 - 1 / (252 * square)))
     return reduce(lambda total, i: total - 1 / (x + i), range(SHIFT), series)
 
 
-def log_gamma(x: Column) -> Column:
+def log_gamma(x: Column, ln=F.ln) -> Column:
     y = x + SHIFT
     square = y * y
-    series = (y - 0.5) * F.ln(y) - y + HALF_LOG_TWO_PI + (1 / y) * (1 / 12 - (1 / square) * (
+    series = (y - 0.5) * ln(y) - y + HALF_LOG_TWO_PI + (1 / y) * (1 / 12 - (1 / square) * (
         1 / 360 - 1 / (1260 * square)))
-    return series - F.ln(reduce(lambda total, i: total * (x + i), range(1, SHIFT), x))
+    return series - ln(reduce(lambda total, i: total * (x + i), range(1, SHIFT), x))

@@ -1,18 +1,19 @@
 """Topics per flagged month by variational inference with Dirichlet priors, up to a bound.
 
 Each month has a model of its own: topics of a review and words of a topic have Dirichlet priors, and a
-review's word is divided among the topics by exp(E ln topic share + E ln word share). All months are fitted
-together as grouped sums over (month, review, term). A pass can only raise the lower bound of a month's
+review's word is divided among the topics by exp(E ln topic share + E ln word share). A month's texts go to one
+task; very large months are fitted together as grouped sums over (month, review, term). A pass can only raise the lower bound of a month's
 likelihood; a month whose bound has risen by less than a share of itself is settled and leaves the passes.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ratingloom.functions.gamma import digamma, log_gamma
+from ratingloom.operators import segment_fit
 from ratingloom.operators.spread import spread_join
 from ratingloom.operators.topics import (SEED, SEGMENT, TERMS, TOPICS, start_value, term_fractions, top_terms,
                                          topic_token_table)
@@ -81,13 +82,31 @@ def one_pass(state: DataFrame, segment: list[str], key: str, k: int, alpha: floa
 
 def dirichlet_topics(reviews: DataFrame, key: str, text: str, stop_words: list[str],
                      segment: list[str] = SEGMENT, k: int = TOPICS, terms: int = TERMS, alpha: float = 1 / TOPICS,
-                     eta: float = 1 / TOPICS, passes: int = MOST_PASSES, settled: float = SETTLED,
-                     seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+                     eta: float = 1 / TOPICS, passes: int = MOST_PASSES, settled: float = SETTLED, seed: int = SEED,
+                     most_chars: int = segment_fit.MOST_CHARS) -> tuple[DataFrame, DataFrame]:
     """(topics, bounds). Topics: segment, topic, rank, term, weight, as ``topics.lda_topics`` has them. Bounds:
     segment, pass, bound, one row for each pass that a month took part in.
 
-    Parts are decimals, so sums do not depend on the order of rows. Every pass is written.
+    The texts of a segment go to one task, which makes its passes; segments of more than ``most_chars`` characters are
+    fitted as grouped sums. Parts are decimals in both, so sums do not depend on the order of rows.
     """
+    texts = stored(reviews.select(*segment, key, text), "topic-texts")
+    small, large = segment_fit.split_by_size(texts, text, segment, most_chars)
+
+    fit = partial(segment_fit.bound_fit, key=key, seed=seed, k=k, passes=passes, terms=terms, alpha=alpha, eta=eta,
+                  settled=settled)
+    found = stored(segment_fit.fit_segments(small, key, text, stop_words, segment, fit), "topics-found")
+    top = segment_fit.shown(found, segment)
+    history = found.where("pass IS NOT NULL").select(*segment, "pass", "bound")
+    if large is None:
+        return top, history
+    more, bounds = _summed(large, key, text, stop_words, segment, k, terms, alpha, eta, passes, settled, seed)
+    return top.unionByName(more), history.unionByName(bounds.select(*segment, "pass", "bound"))
+
+
+def _summed(reviews: DataFrame, key: str, text: str, stop_words: list[str], segment: list[str], k: int, terms: int,
+            alpha: float, eta: float, passes: int, settled: float, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The passes as grouped sums; every pass is written."""
     bags = (topic_token_table(reviews, [*segment, key], text, stop_words)
             .groupBy(*segment, key, "term").agg(F.count("*").alias("n")))
     starts = [start_value(seed, t, [*segment, "term"]) for t in range(k)]

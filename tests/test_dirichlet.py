@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratingloom.functions.gamma import digamma, log_gamma
-from ratingloom.operators import dirichlet
+from ratingloom.operators import dirichlet, topics
 from ratingloom.operators.topics import start_value
 
 SCHEMA = "business_id string, year int, month int, row long, text string"
@@ -126,3 +126,39 @@ def test_bounds_by_hand(spark, reviews):
 def test_no_reviews(reviews):
     top, history = fitted(reviews.limit(0))
     assert top.count() == 0 and not history
+
+
+def sorted_rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_both_ways_of_passes_agree(spark, reviews):
+    """Months fitted in one task give the rows of grouped sums, with repeated and missing row ids."""
+    odd = reviews.unionByName(reviews.limit(5)).unionByName(reviews.where("row < 3").withColumn("row", F.lit(None).cast("long")))
+    own = dirichlet.dirichlet_topics(odd, "row", "text", ["the"])
+    summed = dirichlet.dirichlet_topics(odd, "row", "text", ["the"], most_chars=0)
+    some = dirichlet.dirichlet_topics(odd, "row", "text", ["the"], most_chars=500)
+    wanted = sorted_rows(summed[0])
+    assert len(wanted) > 20 and sorted_rows(own[0]) == wanted and sorted_rows(some[0]) == wanted
+    bounds = [{tuple(r[:4]): r["bound"] for r in b.collect()} for _, b in (own, summed, some)]
+    assert bounds[0] == pytest.approx(bounds[1], abs=1e-6) and bounds[2] == pytest.approx(bounds[1], abs=1e-6)
+
+
+def test_smoothed_passes_agree(spark, reviews):
+    odd = reviews.unionByName(reviews.where("row < 3").withColumn("row", F.lit(None).cast("long")))
+    wanted = sorted_rows(topics.lda_topics(odd, "row", "text", ["the"], most_chars=0))
+    assert len(wanted) > 20
+    for most in (500, 1 << 24):
+        assert sorted_rows(topics.lda_topics(odd, "row", "text", ["the"], most_chars=most)) == wanted
+
+
+def test_passes_write_no_tables(spark, reviews, monkeypatch):
+    """What is written does not grow with the passes."""
+    written = []
+    for module in (topics, dirichlet):
+        kept = module.stored
+        monkeypatch.setattr(module, "stored", lambda df, label, kept=kept: (written.append(label), kept(df, label))[1])
+    for passes in (2, 9):
+        topics.lda_topics(reviews, "row", "text", ["the"], passes=passes).count()
+        dirichlet.dirichlet_topics(reviews, "row", "text", ["the"], passes=passes)[0].count()
+    assert written == ["topic-texts", "topics-found"] * 4
