@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ratingloom.functions import text as tx
+from ratingloom.operators import segment_fit
 from ratingloom.operators.spread import spread_join
-from ratingloom.session import scratch_folder
+from ratingloom.session import removed, scratch_folder, stored
 
 SEGMENT = ["business_id", "year", "month"]
 # Topics, words shown per topic, passes over the texts, seed; the way a topic string
@@ -84,14 +85,31 @@ def start_value(seed: int, topic: int, columns: list[str]) -> Column:
 
 def lda_topics(reviews: DataFrame, key: str, text: str, stop_words: list[str],
                segment: list[str] = SEGMENT, k: int = TOPICS, terms: int = TERMS,
-               passes: int = PASSES, seed: int = SEED) -> DataFrame:
+               passes: int = PASSES, seed: int = SEED, most_chars: int = segment_fit.MOST_CHARS) -> DataFrame:
     """``k`` topics per segment, each with its ``terms`` heaviest terms and their share of the topic.
 
-    Every segment has a model of its own over all its terms, but all are fitted at once, as grouped sums
-    over (segment, review, term). A review's term is divided among the topics by (weight of the topic
-    in the review) x (weight of the term in the topic), both smoothed by 1/k; each pass sums the parts
-    anew. Passes are written to the shared folder. A segment, review or term of any frequency is a
-    sum of partial sums; the joins back are left to the planner's skew handling.
+    Every segment has a model of its own over all its terms. A review's term is divided among the topics by
+    (weight of the topic in the review) x (weight of the term in the topic), both smoothed by 1/k; each pass sums
+    the parts anew. The texts of a segment go to one task, which makes all passes; segments of more than
+    ``most_chars`` characters are fitted as grouped sums, with the same parts.
+    """
+    texts = stored(reviews.select(*segment, key, text), "topic-texts")
+    small, large = segment_fit.split_by_size(texts, text, segment, most_chars)
+
+    fit = partial(segment_fit.smoothed_fit, key=key, seed=seed, k=k, passes=passes, terms=terms)
+    # A segment without a key has no reviews to be joined with.
+    keyed = small.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in segment]))
+    found = segment_fit.shown(stored(segment_fit.fit_segments(
+        keyed, key, text, stop_words, segment, fit), "topics-found"), segment)
+    return found if large is None else found.unionByName(
+        _summed_lda(large, key, text, stop_words, segment, k, terms, passes, seed))
+
+
+def _summed_lda(reviews: DataFrame, key: str, text: str, stop_words: list[str], segment: list[str], k: int,
+                terms: int, passes: int, seed: int) -> DataFrame:
+    """The passes as grouped sums over (segment, review, term). Each is written to the shared folder, and the one
+    before it removed. A segment, review or term of any frequency is a sum of partial sums; the joins back
+    are left to the planner's skew handling.
     """
     spark, split = reviews.sparkSession, [f"r{t}" for t in range(k)]
     bags = (topic_token_table(reviews, [*segment, key], text, stop_words)
@@ -103,10 +121,14 @@ def lda_topics(reviews: DataFrame, key: str, text: str, stop_words: list[str],
         return df.groupBy(*keys).agg(*[F.sum(F.col("n") * F.col(c)).cast("double").alias(f"{names}{t}")
                                        for t, c in enumerate(split)])
 
+    last = None
     for _ in range(passes):
         path = scratch_folder(spark, "topics")
         state.write.parquet(path)
         state = spark.read.parquet(path)
+        if last:
+            removed(spark, last)
+        last = path
         exact = state.groupBy(*segment, "term").agg(*[
             F.sum(F.col("n") * F.col(c)).alias(f"b{t}") for t, c in enumerate(split)])
         # The segment's sums and number of words follow from its terms; no pass counts the state again.
