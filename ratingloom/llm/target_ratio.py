@@ -1,9 +1,9 @@
 """Quality rules and a log-likelihood ratio between trusted target and raw corpus.
 
 Both are multinomials over hashed character n-grams (bytes of the UTF-8 text): the raw one counts
-every document of the corpus, the trusted one a bounded sample of documents labelled good. A
-document's score is the mean log ratio over its n-grams. The threshold comes from the scores of the
-labelled sample, so that every document is judged by one fixed number.
+every document of the corpus, the trusted one every document labelled good. A document's score is
+the mean log ratio over its n-grams. The threshold comes from the scores of all labelled documents,
+so that every document is judged by one fixed number.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ratingloom.llm.shared import written
 
@@ -23,8 +23,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 GRAM = 3
 BITS = 16
-# At most so many labelled documents of each quality fit the target and set the threshold.
-MAX_LABELLED = 20_000
 # Without labels of both kinds: a document is rejected if its n-grams are, in the geometric mean,
 # less than 60 % as likely in the target as in the corpus.
 DEFAULT_THRESHOLD = float(np.log(0.6))
@@ -79,47 +77,60 @@ def corpus_counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int) -> pd.DataFrame:
-    """quality and text of the labelled documents, the first ``max_labelled`` of each quality by a
-    hash of the id. The ids are broadcast: there are at most twice that many."""
+def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """quality and text of all labelled documents."""
     ids = labels.where("quality in (0, 1) and doc_id is not null").select(
         F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("quality")).distinct()
-    first = [ids.where(F.col("quality") == q).orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
-             for q in (0, 1)]
-    few = F.broadcast(first[0].union(first[1]))
-    return written(docs.join(few, F.col("doc_id") == F.col("_id")).select("quality", "text"),
-                   "labelled-texts")
+    return written(docs.join(ids, F.col("doc_id") == F.col("_id")).select("quality", "text"), "labelled-texts")
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED
-        ) -> tuple[np.ndarray, float]:
+def best_threshold(scored: DataFrame) -> float:
+    """Of rows (quality, score), the middle of the gap between scores that separates both kinds best.
+
+    Scores are sorted by range, so a task has one range of them; the sums below a range come from one row per range.
+    """
+    counts = scored.groupBy("score").agg(F.count_if(F.col("quality") == 1).alias("good"),
+                                         F.count_if(F.col("quality") == 0).alias("bad"))
+    laid = written(counts.repartitionByRange("score").sortWithinPartitions("score").withColumn(
+        "task", F.shiftrightunsigned(F.monotonically_increasing_id(), 33)), "label-scores")
+    ranges = laid.groupBy("task").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"),
+                                      F.max("score").alias("last")).orderBy("task").collect()
+    all_good, all_bad = (sum(r[c] for r in ranges) for c in ("good", "bad"))
+    if not all_good or not all_bad:
+        return DEFAULT_THRESHOLD
+    rows, good, bad, last = [], 0, 0, None
+    for r in ranges:
+        rows.append((r["task"], good, bad, last))
+        good, bad, last = good + r["good"], bad + r["bad"], r["last"]
+    below = scored.sparkSession.createDataFrame(
+        rows, "task long, good_before long, bad_before long, score_before double")
+    inside = Window.partitionBy("task").orderBy("score")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    gain = ((F.col("bad_before") + F.sum("bad").over(upto) - F.col("bad")) / F.lit(float(all_bad))
+            - (F.col("good_before") + F.sum("good").over(upto) - F.col("good")) / F.lit(float(all_good)))
+    splits = laid.join(F.broadcast(below), "task").select(
+        F.round(gain, 12).alias("gain"), (-F.col("score")).alias("low"), "score",
+        F.coalesce(F.lag("score").over(inside), F.col("score_before")).alias("before"))
+    best = splits.where("before IS NOT NULL").agg(F.max(F.struct("gain", "low", "score", "before")).alias("b")).first()["b"]
+    return DEFAULT_THRESHOLD if best is None or best["gain"] <= 0 else float((best["before"] + best["score"]) / 2)
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     """The log ratio of each bucket, and the threshold.
 
-    The threshold is the score that separates the labelled sample best (largest share of good
+    The threshold is the score that separates the labelled documents best (largest share of good
     documents at or above it plus share of bad ones below), in the middle of the gap between the
     scores next to it; of equally good gaps the lowest. Without labels of both kinds it is ``DEFAULT_THRESHOLD``;
     without trusted text the ratio is 0 everywhere.
     """
-    sample = labelled_sample(docs, labels, max_labelled)
+    known = labelled_texts(docs, labels)
     raw = corpus_counts(docs)
-    target = corpus_counts(sample.where("quality = 1"))
+    target = corpus_counts(known.where("quality = 1"))
     if not target.sum():
         return np.zeros(1 << BITS), DEFAULT_THRESHOLD
     ratio = (np.log((target + 0.5) / (target.sum() + 0.5 * len(target)))
              - np.log((raw + 0.5) / (raw.sum() + 0.5 * len(raw))))
-    rows = (with_features(sample, ratio).where("not base_failed")
-            .select("quality", "score").toPandas().sort_values("score", kind="stable"))
-    good = rows["quality"].to_numpy() == 1
-    if good.all() or not good.any():
-        return ratio, DEFAULT_THRESHOLD
-    score = rows["score"].to_numpy()
-    # The split before row i rejects the rows below it.
-    gain = np.concatenate([[0], np.cumsum(np.where(good, -1 / good.sum(), 1 / (~good).sum()))])
-    splits = [i for i in range(1, len(score)) if score[i - 1] < score[i]]
-    best = max(splits, key=lambda i: (round(gain[i], 12), -i), default=None)
-    if best is None or gain[best] <= 0:
-        return ratio, DEFAULT_THRESHOLD
-    return ratio, float((score[best - 1] + score[best]) / 2)
+    return ratio, best_threshold(with_features(known, ratio).where("not base_failed").select("quality", "score"))
 
 
 def text_features(text: str | None, ratio: np.ndarray) -> tuple:
@@ -159,19 +170,19 @@ def with_features(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     return out.drop("_measured")
 
 
-def judge(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with the rules' counts, ``score`` and ``kept``.
 
     A document fails with fewer than 50 words or if more than half its words are in repeated windows
     of three. Any other is kept if its score reaches the threshold. Null and empty texts have no words
     and fail. Repeated rows and null ids are judged like any other; an empty table gives no rows.
     """
-    ratio, threshold = fit(docs, labels, max_labelled)
+    ratio, threshold = fit(docs, labels)
     return with_features(docs, ratio).withColumn(
         "kept", ~F.col("base_failed") & (F.col("score") >= F.lit(threshold)))
 
 
-def kept_rows(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
+def kept_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns only."""
     packed = docs.select(F.struct("*").alias("_row"), "doc_id", "text")
-    return judge(packed, labels, max_labelled).where("kept").select("_row.*")
+    return judge(packed, labels).where("kept").select("_row.*")

@@ -6,6 +6,7 @@ from hashlib import sha256
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import messy
 from __spark_entry__ import queries
@@ -80,6 +81,31 @@ def test_quality_is_learned_from_half_the_labels(spark):
     assert len(rows) > 100 and sum(r["right"] for r in rows) >= 0.99 * len(rows)
 
 
+def test_quality_counts_every_labelled_document(spark):
+    """With all documents labelled good, target and corpus are the same, however many there are."""
+    docs = spark.range(20_400).selectExpr("id AS doc_id", "concat('some words ', id % 97) AS text")
+    labels = docs.selectExpr("doc_id", "1 AS quality")
+    ratio, threshold = target_ratio.fit(docs, labels)
+    assert not ratio.any() and threshold == target_ratio.DEFAULT_THRESHOLD
+
+
+def test_threshold_over_many_ranges(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(q), round(float(rng.normal(0.4 * q)), 2)) for q in rng.integers(0, 2, 4000)]
+    splits = sorted({s for _, s in rows})
+    good, bad = (sorted(s for q, s in rows if q == k) for k in (1, 0))
+
+    def gain(split):
+        return round(sum(s < split for s in bad) / len(bad) - sum(s < split for s in good) / len(good), 12)
+
+    best = max(range(1, len(splits)), key=lambda i: (gain(splits[i]), -i))
+    scored = spark.createDataFrame(rows, "quality int, score double").repartition(5)
+    assert target_ratio.best_threshold(scored) == (splits[best - 1] + splits[best]) / 2
+    for one in (scored.where("quality = 1"), scored.where("quality = 0"), scored.limit(0),
+                scored.withColumn("score", -F.col("quality").cast("double"))):
+        assert target_ratio.best_threshold(one) == target_ratio.DEFAULT_THRESHOLD
+
+
 def test_quality_on_messy_rows(spark):
     labels = spark.createDataFrame([(12, 1, "x"), (12, 1, "x"), (None, 1, "x"), (5, None, "x"), (99, 0, "x")],
                                    "doc_id long, quality int, text string")
