@@ -13,6 +13,8 @@ COMPOUND_LIMIT = 0.05
 GOOD_STARS = 4.0
 MIDDLE_STARS = 3.0
 LOOK_BACK = 3
+# A lexicon of at most so many words is sent with the expressions.
+MOST_LISTED = 16384
 
 
 def sentiment_label(compound: Column | str) -> Column:
@@ -67,15 +69,18 @@ def _bare(word: Column) -> Column:
     return F.regexp_replace(word, f"^(?:(?:{marks}){plain}|{plain}(?:{marks}))$", "$1$2")
 
 
-def _in_context(df: DataFrame, key: str, text: str, carry: list[str]) -> DataFrame:
-    """Every word with its three predecessors and two successors ('' past the ends), and for every text one
-    row without a word (position -1). Each word is trimmed once, where it stands in its text."""
+def _in_context(df: DataFrame, key: str, text: str, carry: list[str], listed: list[str] | None = None) -> DataFrame:
+    """Every word, or every one whose lower case is ``listed``, with its three predecessors and two successors ('' past
+    the ends), and for every text one row without a word (position -1). Each word is trimmed once, where it stands in
+    its text."""
     split = F.filter(F.split(text, r"(?U)\s+"), lambda w: F.length(w) > 1)
     edged = r"^\p{Punct}|\p{Punct}$"
     docs = df.select(key, *carry, F.col(text).alias("_text"), split.alias("_raw"))
     docs = docs.withColumn("_words", F.transform("_raw", lambda w: F.when(w.rlike(edged), _bare(w)).otherwise(w)))
     size = F.size("_words")
     places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
+    if listed is not None:
+        places = F.filter(places, lambda i: F.lower(F.get("_words", i)).isin(listed))
     offsets = {"w": 0, "p1": -1, "p2": -2, "p3": -3, "n1": 1, "n2": 2}
     but = F.array_position(F.transform("_words", F.lower), "but").cast("int")
     docs = docs.select(
@@ -92,14 +97,21 @@ def _in_context(df: DataFrame, key: str, text: str, carry: list[str]) -> DataFra
     return rows.select("*", F.col("_h")["i"].alias("_i"), *[F.col("_h")[c].alias(c) for c in offsets]).drop("_h")
 
 
+def _listed(lexicon: DataFrame, most: int = MOST_LISTED) -> list[str] | None:
+    """The words of a lexicon that is short enough to be looked up where the texts stand."""
+    words = [r["word"] for r in lexicon.select("word").where("word IS NOT NULL").distinct().limit(most + 1).collect()]
+    return sorted(words) if len(words) <= most else None
+
+
 def rule_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame,
                    carry: list[str] = []) -> DataFrame:
     """Lexicon sentiment with the rules; same columns as ``lexicon_sentiment``.
 
-    All look-ups happen next to the words, in one stage; only one row per text is shuffled.
+    All look-ups happen next to the words, in one stage; only one row per text is shuffled. Words of no valence add
+    nothing, so with a short lexicon they get no row.
     """
     small = is_small(lexicon)
-    rows = _in_context(df, key, text, carry).withColumn("word", F.lower("w"))
+    rows = _in_context(df, key, text, carry, _listed(lexicon) if small else None).withColumn("word", F.lower("w"))
     rows = lookup_join(rows, lexicon, ["word"], "left", small)
     boosters = wl.INTENSIFIERS + wl.DAMPENERS
     muted = F.col("word").isin(boosters) | ((F.col("word") == "kind") & (F.lower("n1") == "of"))

@@ -127,6 +127,18 @@ def test_rules_by_brute_force(spark, lexicon, small, monkeypatch):
         assert got[i] == pytest.approx(brute_force(text), abs=1e-4), text
 
 
+def test_only_listed_words_get_rows(spark, lexicon, monkeypatch):
+    """Words of no valence get no row with a short lexicon; a long one gives the same scores."""
+    df = spark.createDataFrame(list(enumerate([*SENTENCES, "", None, "plain words only here"])), "id int, text string")
+    words = [r["word"] for r in lexicon.select("word").collect()]
+    rows = sentiment._in_context(df, "id", "text", [], words)
+    assert {r["w"].lower() for r in rows.where("_i >= 0").collect()} <= set(words)
+    assert rows.where("_i < 0").count() == df.count()
+    short = sorted(map(tuple, sentiment.rule_sentiment(df, "id", "text", lexicon).collect()))
+    monkeypatch.setattr(sentiment, "_listed", lambda _: None)
+    assert short == sorted(map(tuple, sentiment.rule_sentiment(df, "id", "text", lexicon).collect()))
+
+
 def test_null_text_is_neutral(spark, lexicon):
     df = spark.createDataFrame([(1, None), (2, "good"), (3, "bad")], "id int, text string")
     for score in (sentiment.rule_sentiment, sentiment.lexicon_sentiment):
