@@ -18,6 +18,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ratingloom.llm.shared import written
+from ratingloom.operators.spread import spread_join
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -77,11 +78,11 @@ def corpus_counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """quality and text of all labelled documents."""
-    ids = labels.where("quality in (0, 1) and doc_id is not null").select(
-        F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("quality")).distinct()
-    return written(docs.join(ids, F.col("doc_id") == F.col("_id")).select("quality", "text"), "labelled-texts")
+def labelled_ids(labels: DataFrame) -> DataFrame:
+    """doc_id and quality of all labelled documents, each pair once."""
+    return written(labels.where("quality in (0, 1) and doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).distinct(),
+        "labelled-ids")
 
 
 def best_threshold(scored: DataFrame) -> float:
@@ -121,16 +122,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     The threshold is the score that separates the labelled documents best (largest share of good
     documents at or above it plus share of bad ones below), in the middle of the gap between the
     scores next to it; of equally good gaps the lowest. Without labels of both kinds it is ``DEFAULT_THRESHOLD``;
-    without trusted text the ratio is 0 everywhere.
+    without trusted text the ratio is 0 everywhere. No text is written. While the ids of good documents are small
+    enough to be sent, texts do not move either; beyond, they are shuffled once.
     """
-    known = labelled_texts(docs, labels)
+    texts, ids = docs.select("doc_id", "text"), labelled_ids(labels)
     raw = corpus_counts(docs)
-    target = corpus_counts(known.where("quality = 1"))
+    target = corpus_counts(spread_join(texts, ids.where("quality = 1").select("doc_id"), ["doc_id"]))
     if not target.sum():
         return np.zeros(1 << BITS), DEFAULT_THRESHOLD
     ratio = (np.log((target + 0.5) / (target.sum() + 0.5 * len(target)))
              - np.log((raw + 0.5) / (raw.sum() + 0.5 * len(raw))))
-    return ratio, best_threshold(with_features(known, ratio).where("not base_failed").select("quality", "score"))
+    # Scores are joined with the labels, not texts, whatever the number of labels.
+    scored = written(with_features(texts, ratio).where("not base_failed").select("doc_id", "score"), "scores")
+    return ratio, best_threshold(spread_join(scored, ids, ["doc_id"]).select("quality", "score"))
 
 
 def text_features(text: str | None, ratio: np.ndarray) -> tuple:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import messy
 from __spark_entry__ import queries
 from ratingloom.llm import secret_crf, target_ratio
+from ratingloom.operators import spread
 
 FOLDER = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -89,6 +90,24 @@ def test_quality_counts_every_labelled_document(spark):
     assert not ratio.any() and threshold == target_ratio.DEFAULT_THRESHOLD
 
 
+def test_quality_moves_no_text_for_its_labels(spark, monkeypatch):
+    """Only ids, counts and scores are written; texts are shuffled only if the good ids are too many to be sent."""
+    rng = np.random.default_rng(7)
+    rows = [(i % 190, " ".join(f"{'ab' if i % 2 else 'xy'}{n}" for n in rng.permutation(200)[:60]))
+            for i in range(200)] + [(None, "no id"), (5, None), (7, "short")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 190, 3)] + [(3, 0), (3, 1), (None, 1), (4, None)],
+                                   "doc_id long, quality int")
+    seen, write = [], target_ratio.written
+    monkeypatch.setattr(target_ratio, "written", lambda df, label: seen.append(df.columns) or write(df, label))
+    ratio, threshold = target_ratio.fit(docs, labels)
+    assert seen and not any("text" in columns for columns in seen)
+    assert ratio.any() and threshold != target_ratio.DEFAULT_THRESHOLD
+    monkeypatch.setattr(spread, "is_small", lambda *_: False)
+    other, same = target_ratio.fit(docs, labels)
+    assert (other == ratio).all() and same == threshold
+
+
 def test_threshold_over_many_ranges(spark):
     rng = np.random.default_rng(3)
     rows = [(int(q), round(float(rng.normal(0.4 * q)), 2)) for q in rng.integers(0, 2, 4000)]
