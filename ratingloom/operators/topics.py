@@ -24,13 +24,13 @@ LEAST_WEIGHT = 0.5
 
 def spike_reviews(dated: DataFrame, flagged: DataFrame) -> DataFrame:
     """The reviews of the flagged months: one join for all of them."""
-    months = flagged.select(*SEGMENT).distinct()
-    return spread_join(dated, months, SEGMENT, "left_semi")
+    return spread_join(dated, flagged.select(*SEGMENT), SEGMENT, "left_semi")
 
 
 def topic_token_table(df: DataFrame, keys: list[str], text: str, stop_words: list[str]) -> DataFrame:
     """One row per topic token."""
-    return df.select(*keys, F.explode(tx.topic_tokens(text, stop_words)).alias("term"))
+    # Outer, as the size filter of a plain explode would split every text a second time, before it is joined.
+    return df.select(*keys, F.explode_outer(tx.topic_tokens(text, stop_words)).alias("term")).where("term IS NOT NULL")
 
 
 def bag_of_words(tokens: DataFrame, key: str) -> DataFrame:
@@ -42,7 +42,8 @@ def top_terms(weights: DataFrame, keys: list[str], terms: int) -> DataFrame:
     """The heaviest terms of each group with their share of the group's whole weight."""
     group = Window.partitionBy(*keys)
     rank = F.row_number().over(group.orderBy(F.desc("w"), "term"))
-    whole = F.sum(F.col("w").cast("decimal(30,6)")).over(group).cast("double")
+    exact = F.col("w") if dict(weights.dtypes)["w"] == "bigint" else F.col("w").cast("decimal(30,6)")
+    whole = F.sum(exact).over(group).cast("double")
     return (weights.withColumn("rank", rank).withColumn("_all", whole).where(F.col("rank") <= terms)
             .select(*keys, "rank", "term", "w", F.round(F.col("w") / F.col("_all"), 3).alias("weight")))
 
@@ -67,7 +68,11 @@ def _topic_strings(top: DataFrame, keys: list[str]) -> DataFrame:
 
 def segment_topics(tokens: DataFrame, segment: list[str] = SEGMENT, terms: int = TERMS) -> DataFrame:
     """The top terms as a one-entry ``topics`` list per segment: the exact, model-free report."""
-    return (_topic_strings(segment_top_terms(tokens, segment, terms), segment)
+    # The rows are sorted by segment as they come, so each first one takes the texts of those behind it.
+    group = Window.partitionBy(*segment).orderBy("rank")
+    texts = segment_top_terms(tokens, segment, terms).withColumn("t", topic_text(F.col("weight"), F.col("term")))
+    topic = F.concat_ws(" + ", "t", *[F.lead("t", i).over(group) for i in range(1, terms)])
+    return (texts.withColumn("topic", topic).where("rank = 1")
             .select(*segment, F.array("topic").alias("topics")))
 
 
