@@ -14,8 +14,10 @@ BLANKS = "".join(chr(i) for i in range(33))
 
 
 def is_blank(column: str) -> Column:
-    """Null, empty or nothing but blanks."""
-    return F.coalesce(F.trim(F.col(column), F.lit(BLANKS)) == "", F.lit(True))
+    """Null, empty or nothing but blanks. Most texts begin with a character beyond the space, so trimming tells
+    nothing new of them."""
+    return F.when(F.col(column) >= "!", F.lit(False)).otherwise(
+        F.coalesce(F.trim(F.col(column), F.lit(BLANKS)) == "", F.lit(True)))
 
 
 def all_non_blank(columns: list[str]) -> Column:
@@ -49,7 +51,8 @@ def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 def _fields(lines: DataFrame) -> DataFrame:
     # Empty fields at the end of a line do not count. The one-element explode keeps the filters
     # below from being merged into the scan's projection, where each of them would split again.
-    parts = F.split(F.rtrim("value", F.lit("\t")), "\t")
+    value = F.when(F.endswith("value", F.lit("\t")), F.rtrim("value", F.lit("\t"))).otherwise(F.col("value"))
+    parts = F.split(value, "\t")
     return lines.select("value", F.explode(F.array(parts)).alias("f"))
 
 

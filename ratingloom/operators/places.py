@@ -128,6 +128,12 @@ def distinct_places(df: DataFrame, state: str | None = None) -> DataFrame:
     return places.distinct().orderBy("state", "city")
 
 
+def each_once(df: DataFrame) -> DataFrame:
+    """The distinct rows, by hash tables in the tasks. Before a smallest row per key, which would sort all rows; the count
+    keeps the planner from taking a plain ``distinct`` out of there."""
+    return df.groupBy(*df.columns).agg(F.count("*").alias("_n")).where("_n > 0").drop("_n")
+
+
 def distinct_business(df: DataFrame, key: str = "business_id") -> DataFrame:
     """One row per business; of differing rows the smallest is taken."""
     rest = [c for c in df.columns if c != key]

@@ -129,8 +129,8 @@ def run_trends(store: Store, raw: DataFrame, stop_words: list[str], model: bool
     raw = cleaning.drop_null_keys(raw, ["business_id", "stars", "datetime"])
     if raw.isEmpty():
         return
-    places_of = store.keep("places", places.distinct_business(
-        raw.select("business_id", *trends.MONTH_ATTRIBUTES)))
+    places_of = store.keep("places", places.distinct_business(places.each_once(
+        raw.select("business_id", *trends.MONTH_ATTRIBUTES))))
     monthly = store.keep("monthly", trends.monthly_ratings(raw))
     store.publish("business_monthly_trends", trends.with_business(
         monthly, places_of, trends.MONTH_ATTRIBUTES).withColumnsRenamed(TREND_NAMES))
