@@ -19,6 +19,11 @@ def test_blank_as_by_trimming(spark):
     assert ">= !" in plan(df.select(cleaning.is_blank("t")))
 
 
+def test_numbers_are_not_blank(spark):
+    df = spark.createDataFrame([(1, 0.5), (-2, None), (None, 1.0), (0, float("nan"))], "a bigint, b double")
+    assert sorted(r.a for r in cleaning.validate_non_blank(df, ["a", "b"]).collect()) == [0, 1]
+
+
 def test_tabs_at_the_end_do_not_count(spark):
     lines = ["a\tb", "a\tb\t", "a\tb\t\t\t", "\t", "", "a\t\tb", "a \t ", None]
     got = cleaning._fields(spark.createDataFrame([(t,) for t in lines], "value string"))
